@@ -43,9 +43,49 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_two_fit_packing, op4_exact_dedup, op5_minhash_near_dedup)}
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", (toxicity.fold("doc_id") == 1).alias("held_out"), "score", predicted.alias("predicted"), "worst")
+
+
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chunk_dedup import duplicate_spans
+
+    return duplicate_spans(table(spark, sf_dir, "documents")).select("doc_id", "start", "length", "n_chunks", "kept", "first_doc_id")
+
+
+def op9_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    read = warc.read_bundles(warc.write_bundles(table(spark, sf_dir, "pages")))
+    return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_two_fit_packing, op4_exact_dedup, op5_minhash_near_dedup, op8_chunk_dedup, op9_warc_bundles, op10_decontamination)}
 
 ORACLE_SQL = {
+    "op9_warc_bundles": """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+""",
     "op4_exact_dedup": r"""
 WITH normed AS (
     SELECT doc_id, length(coalesce(text, '')) AS n_cp, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
