@@ -31,6 +31,12 @@ def op2_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import scores
+
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_groups
 
@@ -53,6 +59,23 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (toxicity.fold("doc_id") == 1).alias("held_out"), "score", predicted.alias("predicted"), "worst")
 
 
+#: The contract's rules.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import url_filter
+
+    weights = url_filter.train(url_filter.labelled(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), weights, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licences import recognise
+
+    return recognise(table(spark, sf_dir, "documents"))
+
+
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chunk_dedup import duplicate_spans
 
@@ -72,7 +95,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_two_fit_packing, op4_exact_dedup, op5_minhash_near_dedup, op8_chunk_dedup, op9_warc_bundles, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_two_fit_packing, op3_lm_score, op4_exact_dedup, op5_minhash_near_dedup, op6_url_filter, op7_licence_scan, op8_chunk_dedup, op9_warc_bundles, op10_decontamination)}
 
 ORACLE_SQL = {
     "op9_warc_bundles": """
