@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def jaro_winkler_pair(a: str, b: str) -> float:
@@ -35,7 +36,7 @@ def jaro_winkler_pair(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Arrow batches; evaluate it on rows that equi joins and cheaper rules have left."""
     return pd.Series([None if x is None or y is None else jaro_winkler_pair(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

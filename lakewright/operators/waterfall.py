@@ -57,5 +57,6 @@ def waterfall(
 
 
 def bridge_outer(left: DataFrame, bridge: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    """All rows of left and right, side by side where the bridge pairs them."""
-    return left.join(bridge, left_id, "left").join(right, right_id, "full")
+    """All rows of left and right, side by side where the bridge pairs them; right_id is null where there is no right row."""
+    paired = left.join(bridge.select(left_id, F.col(right_id).alias("__r")), left_id, "left")
+    return paired.join(right, F.col("__r") == F.col(right_id), "full").drop("__r")

@@ -187,9 +187,9 @@ def set_intersect(t: Tables) -> DataFrame:
     return t.orders.select(F.col("o_custkey").alias("k")).intersect(t.events.select(F.col("user_id").alias("k")))
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def set_except(t: Tables) -> DataFrame:
-    return t.customer.select(F.col("c_custkey").alias("k")).exceptAll(t.orders.select(F.col("o_custkey").alias("k")).distinct())
+    return t.customer.select(F.col("c_custkey").alias("k")).exceptAll(t.orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k")).distinct())
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
