@@ -1,4 +1,4 @@
-"""Elias-Fano sequences and a byte n-gram trie in them, as flat arrays that are memory-mapped."""
+"""Elias-Fano sequences and a two-level n-gram trie in flat, memory-mapped arrays."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ import tempfile
 
 import numpy as np
 
-#: log10 probabilities are stored as multiples of 1 / STEP; NONE marks a node that is a context only.
+#: log10 probabilities are stored as multiples of 1 / STEP below 0; NONE is "not there".
 STEP, NONE = 6000, 0xFFFF
-_SLICE = 16_384
+_SLICE = 65_536
 
 
 class EliasFano:
@@ -41,111 +41,64 @@ class EliasFano:
             k = i[lo : lo + _SLICE]
             word = np.searchsorted(self.ones, k, side="right") - 1
             bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            nth = (k - self.ones[word] + 1).astype(np.int64)
+            nth = (k - self.ones[word] + 1).astype(np.uint8)
             place = (np.cumsum(bits, axis=1, dtype=np.uint8) == nth[:, None]).argmax(axis=1)
             out[lo : lo + _SLICE] = word.astype(np.int64) * 64 + place - k
         return (out << self.low_bits) + self.low[i] if self.low_bits else out
 
 
 class Trie:
-    """N-grams of bytes. Level k holds, per k-gram: its last byte, relative to its context, and its
-    quantised log10 probability and back-off; monotone pointers say where each context's successors begin."""
+    """Contexts (sorted hashes), monotone pointers to their successors, the successors' fingerprints relative to their
+    context (sorted within it), and a quantised log10 probability each."""
 
-    def __init__(self, order: int, levels: list[dict], unseen: float):
-        self.order, self.levels, self.unseen = order, levels, unseen
+    def __init__(self, contexts: np.ndarray, pointers: EliasFano, successors: np.ndarray, log_p: np.ndarray):
+        self.contexts, self.pointers, self.successors, self.log_p = contexts, pointers, successors, log_p
 
     @staticmethod
-    def build(grams: np.ndarray, counts: np.ndarray, order: int) -> Trie:
-        """From counted n-grams of the highest order (bytes in the low `order` bytes of a number, the last one lowest); Witten-Bell smoothing."""
-        uniform = 1 / 256
-        events = []
-        for k in range(1, order + 1):
-            keys, place = np.unique(grams & np.uint64((1 << 8 * k) - 1), return_inverse=True)
-            n = np.bincount(place, counts, len(keys)) if len(keys) else np.empty(0)
-            contexts, of = np.unique(keys >> np.uint64(8), return_inverse=True)
-            total, kinds = np.bincount(of, n, len(contexts)), np.bincount(of, minlength=len(contexts))
-            lower = np.full(len(keys), uniform)
-            if k > 1:
-                before, p = events[-1][0], events[-1][1]
-                lower = p[np.searchsorted(before, keys & np.uint64((1 << 8 * (k - 1)) - 1))]
-            events.append((keys, (n + kinds[of] * lower) / (total + kinds)[of], contexts, kinds / (total + kinds)) if len(keys) else (keys, n, contexts, total))
-        nodes = [np.empty(0, np.uint64)] * (order + 1)
-        for k in range(order, 0, -1):
-            longer = nodes[k + 1] >> np.uint64(8) if k < order else np.empty(0, np.uint64)
-            nodes[k] = np.unique(np.concatenate([events[k - 1][0], longer]))
-        nodes[0] = np.zeros(1, np.uint64)
-        levels = []
-        for k in range(1, order + 1):
-            keys = nodes[k]
-            parent = np.searchsorted(nodes[k - 1], keys >> np.uint64(8))
-            pointers = np.append(0, np.cumsum(np.bincount(parent, minlength=len(nodes[k - 1]))))
-            code = np.full(len(keys), NONE, np.uint16)
-            code[np.searchsorted(keys, events[k - 1][0])] = _quantise(events[k - 1][1])
-            level = {"pointers": EliasFano.encode(pointers), "symbols": (keys & np.uint64(255)).astype(np.uint8), "log_p": code, "parents": len(nodes[k - 1])}
-            back = np.full(len(nodes[k - 1]), NONE, np.uint16)
-            back[np.searchsorted(nodes[k - 1], events[k - 1][2])] = _quantise(events[k - 1][3])
-            level["back"] = back
-            levels.append(level)
-        return Trie(order, levels, np.log10(uniform))
-
-    def _successor(self, level: dict, parent: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Place of the context's first successor that isn't below the symbol, if it is the symbol; else -1."""
-        begin, end = level["pointers"].access(parent), level["pointers"].access(parent + 1)
-        symbols, lo, hi = level["symbols"], begin.copy(), end.copy()
-        while (going := lo < hi).any():
-            mid = (lo + hi) >> 1
-            less = going & (symbols[np.minimum(mid, len(symbols) - 1)] < symbol)
-            lo, hi = np.where(less, mid + 1, lo), np.where(going & ~less, mid, hi)
-        found = (lo < end) & (symbols[np.minimum(lo, len(symbols) - 1)] == symbol) if len(symbols) else np.zeros(len(lo), bool)
-        return np.where(found, lo, -1)
-
-    def log10(self, windows: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each window of `order` bytes, given the others."""
-        out, open_ = np.zeros(len(windows)), np.arange(len(windows))
-        for k in range(self.order, 0, -1):
-            if not open_.size:
-                break
-            w = windows[open_]
-            node = np.zeros(len(w), np.int64)
-            for depth in range(1, k + 1):
-                context = node
-                alive = context >= 0
-                node = np.full(len(w), -1, np.int64)
-                symbol = ((w >> np.uint64(8 * (k - depth))) & np.uint64(255)).astype(np.uint8)
-                if alive.any():
-                    node[alive] = self._successor(self.levels[depth - 1], context[alive], symbol[alive])
-            level = self.levels[k - 1]
-            hit = node >= 0
-            code = np.full(len(w), NONE, np.uint16)
-            code[hit] = level["log_p"][node[hit]]
-            done = code != NONE
-            out[open_[done]] -= code[done] / STEP
-            known = ~done & (context >= 0)
-            back = level["back"][context[known]]
-            out[open_[known]] -= np.where(back == NONE, 0.0, back / STEP)
-            open_ = open_[~done]
-        out[open_] += self.unseen
+    def build(contexts: np.ndarray, successors: np.ndarray, p: np.ndarray) -> Trie:
+        """From distinct (context, successor) pairs in order, with their probabilities."""
+        first = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1])) if len(contexts) else np.empty(0, np.int64)
+        code = np.minimum(np.rint(-np.log10(np.maximum(p, 1e-300)) * STEP), NONE - 1).astype(np.uint16)
+        return Trie(contexts[first], EliasFano.encode(np.append(first, len(contexts)).astype(np.int64)), successors, code)
+
+    def lookup(self, contexts: np.ndarray, runs: np.ndarray, successors: np.ndarray) -> np.ndarray:
+        """Codes of queries: each context is followed by its run of successors; NONE for pairs the trie doesn't have."""
+        out = np.full(len(successors), NONE, np.uint16)
+        if not len(self.contexts) or not len(successors):
+            return out
+        node = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
+        known = self.contexts[node] == contexts
+        begin, end = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
+        begin[known], end[known] = self.pointers.access(node[known]), self.pointers.access(node[known] + 1)
+        # successor search: the first in the context's range that isn't below the wanted one
+        lo, hi = np.repeat(begin, runs), np.repeat(end, runs)
+        stop, active = hi.copy(), np.flatnonzero(lo < hi)
+        while active.size:
+            a, b = lo[active], hi[active]
+            mid = (a + b) >> 1
+            less = self.successors[mid] < successors[active]
+            lo[active], hi[active] = np.where(less, mid + 1, a), np.where(less, b, mid)
+            active = active[lo[active] < hi[active]]
+        inside = np.flatnonzero(lo < stop)
+        hit = inside[self.successors[lo[inside]] == successors[inside]]
+        out[hit] = self.log_p[lo[hit]]
         return out
 
     def dump(self) -> bytes:
         """All arrays one after the other behind a JSON header."""
-        arrays, head = [], {"order": self.order, "unseen": self.unseen, "levels": []}
-        at = 0
-        for level in self.levels:
-            p, entry = level["pointers"], {"low_bits": level["pointers"].low_bits}
-            for name, a in (("low", p.low), ("high", p.high), ("ones", p.ones), ("symbols", level["symbols"]), ("log_p", level["log_p"]), ("back", level["back"])):
-                raw = np.ascontiguousarray(a).tobytes()
-                entry[name] = [str(a.dtype), at, len(a)]
-                arrays.append(raw + b"\0" * (-len(raw) % 8))
-                at += len(arrays[-1])
-            head["levels"].append(entry)
+        arrays, head, at = [], {"low_bits": self.pointers.low_bits}, 0
+        for name, a in (("contexts", self.contexts), ("low", self.pointers.low), ("high", self.pointers.high), ("ones", self.pointers.ones), ("successors", self.successors), ("log_p", self.log_p)):
+            raw = np.ascontiguousarray(a).tobytes()
+            head[name] = [str(a.dtype), at, len(a)]
+            arrays.append(raw + b"\0" * (-len(raw) % 8))
+            at += len(arrays[-1])
         text = json.dumps(head).encode()
         text += b" " * (-len(text) % 8)
         return len(text).to_bytes(8, "little") + text + b"".join(arrays)
 
-    @staticmethod
-    def mapped(data: bytes) -> Trie:
-        """The trie of dump()'s bytes, in a memory-mapped file that is gone when the process ends."""
+    def mapped(self) -> Trie:
+        """The same trie over a memory-mapped file that is gone when its arrays are."""
+        data = self.dump()
         fd, name = tempfile.mkstemp(suffix=".trie")
         with os.fdopen(fd, "wb") as f:
             f.write(data)
@@ -154,16 +107,8 @@ class Trie:
         size = int.from_bytes(data[:8], "little")
         head, base = json.loads(data[8 : 8 + size]), 8 + size
 
-        def part(spec: list) -> np.ndarray:
-            kind, at, n = spec
+        def part(key: str) -> np.ndarray:
+            kind, at, n = head[key]
             return whole[base + at : base + at + n * np.dtype(kind).itemsize].view(kind)
 
-        levels = []
-        for e in head["levels"]:
-            pointers = EliasFano(part(e["low"]), part(e["high"]), part(e["ones"]), e["low_bits"])
-            levels.append({"pointers": pointers, "symbols": part(e["symbols"]), "log_p": part(e["log_p"]), "back": part(e["back"])})
-        return Trie(head["order"], levels, head["unseen"])
-
-
-def _quantise(p: np.ndarray) -> np.ndarray:
-    return np.minimum(np.rint(-np.log10(np.maximum(p, 1e-300)) * STEP), NONE - 1).astype(np.uint16)
+        return Trie(part("contexts"), EliasFano(part("low"), part("high"), part("ones"), head["low_bits"]), part("successors"), part("log_p"))

@@ -1,109 +1,61 @@
-"""Language-model scores from an Elias-Fano n-gram trie.
+"""Language-model scores from Elias-Fano n-gram tries.
 
 Tokens: words (runs of bytes outside [\\x20\\x09-\\x0D], A-Z lower-cased), then one
-end token. The model spells a token byte by byte with an n-gram trie (each byte
-given the ORDER - 1 before it in its token, Witten-Bell smoothed, quantised),
-interpolated with the token's share of the training tokens:
-
-    p(w) = (1 - u) * c(w) / N + u * spelled(w),   u = n1 / N
-
-where n1 is the number of training tokens seen once (the Good-Turing mass of
-unseen words). Unlike a word table it gives every unseen word its own
-probability, and it sums to 1.
-
-Plan. Pass 1 counts byte n-grams of training texts (partial counts per task,
-one grouped sum); the table of n-grams is size-checked (above MAX_GRAMS the
-order is lowered until it fits), built into a trie, broadcast and memory-mapped
-by every worker. Pass 2 reads all texts in chunks of about CHUNK_TOKENS tokens; a
-chunk is one row with its documents' token entries, plus one row per shard of
-the hashed vocabulary with the chunk's words and training counts. Shards add up
-counts (a word has one entry per chunk at most, however frequent it is) and send each chunk its
-words' totals, with which the chunk scores its documents. No vocabulary and
-no document is collected anywhere.
-
-Null and empty texts are the end token alone. Very long texts are one document
-of a chunk. Rows that repeat an id are learnt and scored each. A null id is
-held in training (its remainder is null). Without training tokens the score is spelled by
-the uniform distribution. An empty table gives an empty result. Other columns are never read.
+end token; the context of a text's first token is an end token. The model is a
+word bigram over the training vocabulary and one class of unknown words:
+
+    p(w | v) = (1 - U) * c(v w) / c(v) + U * p(w),   p(w) alone where v is unknown,
+    p(w) = (c(w) - d) / N,   p(unknown) = d * V / N,   d = n1 / (n1 + 2 * n2)
+
+with n1 and n2 the words seen once and twice; it sums to 1 for every context.
+
+Plan. Texts are read once into chunks of about CHUNK_TOKENS tokens: a row with
+the chunk's word hashes and its tokens as places among them. Words go to shards by hash and
+come back with their counts; pairs go to cells of a grid (context hash by
+successor hash, so a frequent context is spread over a row of cells) as
+per-chunk distinct pairs. A cell adds up its pairs, builds a trie (monotone
+pointers, context-relative successor fingerprints, quantised joint
+probabilities), maps it into memory and answers each chunk's pairs by
+successor search. Each chunk then scores its documents. A word or pair has one
+entry a chunk at most, however frequent it is; shards and cells grow in number
+with the corpus; no vocabulary, count table or document is collected.
+
+Null and empty texts are the end token alone. A very long text is a chunk of
+its own size. Rows that repeat an id are learnt and scored each. Null ids are
+training rows (they have no remainder). Without training tokens all words are
+unknown, with probability 1. An empty table gives an empty result. Other
+columns are never read.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .elias_fano import Trie
+from .elias_fano import NONE, STEP, Trie
 from .runtime import materialise
 from .words import split_words
 
-ORDER, MAX_GRAMS, CHUNK_TOKENS, SHARD_CHARS = 5, 8_000_000, 1_500_000, 16_000_000
+CHUNK_TOKENS, CELL_CHARS, UNIGRAM = 1_500_000, 14_000_000, 0.7
 END = b"\n"
 FOLDS, HELD = 5, 1
+_HASH_BITS = 16
 
 
 def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == HELD
 
 
-def windows_of(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of `order` bytes that end inside a word or at the blank after it, and the word of each."""
-    pad = b" " * (order - 1)
-    data = np.frombuffer(b"".join(pad + w + b" " for w in words), np.uint8).astype(np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    word = np.repeat(np.arange(len(words)), lengths)
-    # the place of each predicted byte: behind the pads of its word and all before
-    at = np.arange(len(word)) + (word + 1) * (order - 1)
-    out = np.zeros(len(at), np.uint64)
-    for k in range(order):
-        out = (out << np.uint64(8)) | data[at - (order - 1) + k]
-    return out, word
-
-
-def count_grams(df: DataFrame, order: int = ORDER) -> DataFrame:
-    """gram, n: counted windows of the training rows of df (doc_id, text)."""
-
-    def flush(words: Counter) -> pa.RecordBatch:
-        grams, word = windows_of(list(words), order)
-        n = np.fromiter(words.values(), np.int64, len(words))[word]
-        keys, place = np.unique(grams, return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.bincount(place, n, len(keys)).astype(np.int64))], names=["gram", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if not held_out(doc_id):
-                    words.update(split_words(text.as_py()))
-                    words[END] += 1
-                if len(words) > 400_000:
-                    yield flush(words)
-                    words.clear()
-        if words:
-            yield flush(words)
-
-    return df.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def fit(df: DataFrame, order: int = ORDER) -> Trie:
-    """The trie of the training rows of df (doc_id, text)."""
-    counted = materialise(count_grams(df, order), "grams")
-    while order > 1 and counted.limit(MAX_GRAMS + 1).count() > MAX_GRAMS:
-        order -= 1
-        counted = counted.groupBy(F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")).agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()
-    return Trie.build(rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64), order)
-
-
 class _Local(dict):
     """word -> its number in order of appearance."""
 
@@ -112,48 +64,47 @@ class _Local(dict):
         return n
 
 
-def _spelled(trie: Trie, words: list[bytes]) -> np.ndarray:
-    grams, word = windows_of(words, trie.order)
-    unique, place = np.unique(grams, return_inverse=True)
-    return np.bincount(word, trie.log10(unique)[place], len(words))
+def _pack(a: np.ndarray) -> bytes:
+    """An array's bytes, by significance, compressed."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
 
+def _unpack(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-_CHUNK = "chunk long, shard int, words binary, counts binary, spelled binary, runs binary, docs binary, times binary, ids array<long>, held array<boolean>, sizes array<long>, train_tokens long"
+
+_CHUNK = "chunk long, hashes binary, tops binary, tokens binary, end int, ids array<long>, held array<boolean>, sizes array<long>, train_tokens long"
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
-_CHUNK_ROW = pa.schema([(name, _KINDS[kind]) for name, kind in (x.split() for x in _CHUNK.split(", "))])
 
 
-def _chunks(df: DataFrame, trie_bytes, shards: int) -> DataFrame:
-    """Rows of chunks (shard -1: entries of its documents, by word in order of hash) and of their shards (words, training counts)."""
-    bits = shards.bit_length() - 1
+def _schema(ddl: str) -> pa.Schema:
+    return pa.schema([(name, _KINDS[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
+
 
-    def finish(number: int, trie: Trie, ids: list, texts: list[list[bytes]]) -> Iterator[dict]:
-        local, n = _Local(), len(ids)
-        sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, n)
-        tokens = np.fromiter((local[w] for t in texts for w in (*t, END)), np.int64, int(sizes.sum()))
-        words = list(local)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def _chunks(df: DataFrame) -> DataFrame:
+    """One row per chunk of df (doc_id, text): sorted word hashes, tokens as places among them, the place of the end token, documents."""
+
+    def finish(number: int, ids: list, texts: list[list[bytes]]) -> pa.RecordBatch:
+        local = _Local()
+        end = local[END]
+        sizes = [len(t) + 1 for t in texts]
+        tokens = np.fromiter((local[w] for t in texts for w in (*t, END)), np.uint32, sum(sizes))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, local), np.uint64, len(local))
         order = np.argsort(hashes)
-        rank = np.empty(len(words), np.int64)
-        rank[order] = np.arange(len(words))
-        pairs, times = np.unique(rank[tokens] * n + np.repeat(np.arange(n), sizes), return_counts=True)
-        word, doc = pairs // n, pairs % n
-        held = np.fromiter(map(held_out, ids), bool, n)
-        train = np.bincount(word, times * ~held[doc], len(words)).astype(np.uint32)
-        hashes = hashes[order]
-        yield {
-            "chunk": number, "shard": -1, "spelled": _spelled(trie, words)[order].astype(np.float32).tobytes(), "runs": np.bincount(word, minlength=len(words)).astype(np.uint32).tobytes(),
-            "docs": doc.astype(np.uint32).tobytes() if n > 65_536 else doc.astype(np.uint16).tobytes(), "times": times.astype(np.uint32).tobytes(),
-            "ids": ids, "held": held.tolist(), "sizes": sizes.tolist(), "train_tokens": int(sizes[~held].sum()),
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
+        held = [held_out(i) for i in ids]
+        row = {
+            "chunk": number, "hashes": hashes[order].tobytes(), "tops": _pack((hashes[order] >> np.uint64(64 - _HASH_BITS)).astype(np.uint16)), "tokens": _pack(place[tokens]), "end": int(place[end]),
+            "ids": ids, "held": held, "sizes": sizes, "train_tokens": sum(n for n, h in zip(sizes, held, strict=True) if not h),
         }
-        ends = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange(shards + 1)) if bits else np.array([0, len(hashes)])
-        for k in range(shards):
-            own = slice(ends[k], ends[k + 1])
-            if ends[k] < ends[k + 1]:
-                yield {"chunk": number, "shard": k, "words": hashes[own].tobytes(), "counts": train[own].tobytes()}
+        return pa.RecordBatch.from_pylist([row], _schema(_CHUNK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, part, k = Trie.mapped(trie_bytes.value), TaskContext.get().partitionId(), 0
+        part, k = TaskContext.get().partitionId(), 0
         ids, texts, size = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -161,65 +112,158 @@ def _chunks(df: DataFrame, trie_bytes, shards: int) -> DataFrame:
                 texts.append(split_words(text.as_py()))
                 size += len(texts[-1]) + 1
                 if size >= CHUNK_TOKENS:
-                    yield pa.RecordBatch.from_pylist(list(finish(part << 24 | k, trie, ids, texts)), _CHUNK_ROW)
+                    yield finish(part << 24 | k, ids, texts)
                     ids, texts, size, k = [], [], 0, k + 1
         if ids:
-            yield pa.RecordBatch.from_pylist(list(finish(part << 24 | k, trie, ids, texts)), _CHUNK_ROW)
+            yield finish(part << 24 | k, ids, texts)
 
     return df.mapInArrow(run, _CHUNK)
 
 
+class _Pairs:
+    """The distinct (context, successor) pairs of a chunk in the order of the grid's cells, and the pair of each token."""
+
+    def __init__(self, tokens: np.ndarray, end: int, tops: np.ndarray, bits: int):
+        n = len(tops)
+        before = np.append(np.uint32(end), tokens[:-1]).astype(np.int64)
+        keys, inverse = np.unique(before * n + tokens, return_inverse=True)
+        v, w = keys // n, keys % n
+        shift = _HASH_BITS - bits
+        cell = (tops[v].astype(np.int64) >> shift << bits) | (tops[w].astype(np.int64) >> shift)
+        # keys are in order of context, then successor, both by hash; a stable sort keeps that within a cell
+        order = np.argsort(cell, kind="stable")
+        self.v, self.w, self.cell = v[order], w[order], cell[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.of_token = place[inverse]
+
+
+def _train_mask(row: dict) -> np.ndarray:
+    return np.repeat(~np.array(row["held"], bool), row["sizes"])
+
+
+_WORDS = "chunk long, shard int, words binary, counts binary"
+_CELLS = "chunk long, cell int, contexts binary, runs binary, successors binary, counts binary"
+
+
+def _word_rows(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                hashes, tokens = np.frombuffer(row["hashes"], np.uint64), _unpack(row["tokens"], "<u4")
+                counts = np.bincount(tokens[_train_mask(row)], minlength=len(hashes)).astype(np.uint32)
+                shard = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                ends = np.searchsorted(shard, np.arange((1 << bits) + 1))
+                rows = [{"chunk": row["chunk"], "shard": s, "words": hashes[a:b].tobytes(), "counts": _pack(counts[a:b])} for s, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b]
+                yield pa.RecordBatch.from_pylist(rows, _schema(_WORDS))
+
+    return run
+
+
+def _pair_rows(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                hashes, tokens = np.frombuffer(row["hashes"], np.uint64), _unpack(row["tokens"], "<u4")
+                pairs = _Pairs(tokens, row["end"], _unpack(row["tops"], "<u2"), bits)
+                counts = np.bincount(pairs.of_token[_train_mask(row)], minlength=len(pairs.v)).astype(np.uint32)
+                ends = np.searchsorted(pairs.cell, np.arange((1 << 2 * bits) + 1))
+                rows = []
+                for c, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                    if a < b:
+                        v = pairs.v[a:b]
+                        first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
+                        runs = np.diff(np.append(first, len(v))).astype(np.uint32)
+                        fingerprints = (hashes[pairs.w[a:b]] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                        rows.append({"chunk": row["chunk"], "cell": c, "contexts": hashes[v[first]].tobytes(), "runs": _pack(runs), "successors": fingerprints.tobytes(), "counts": _pack(counts[a:b])})
+                        if len(rows) >= 64:
+                            yield pa.RecordBatch.from_pylist(rows, _schema(_CELLS))
+                            rows = []
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, _schema(_CELLS))
+
+    return run
+
+
 def _add_up(group: pd.DataFrame) -> pd.DataFrame:
-    """A shard's words over all chunks: to each chunk its words' totals; the shard's distinct words and those seen once go with the first."""
-    sizes = [len(w) // 8 for w in group["words"]]
+    """A shard's words over all chunks: to each chunk its words' totals; the shard's words in training, once and twice there, go with the first."""
     words = np.concatenate([np.frombuffer(w, np.uint64) for w in group["words"]])
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in group["counts"]])
+    ends = np.cumsum([0, *(len(w) // 8 for w in group["words"])])
     _, place = np.unique(words, return_inverse=True)
-    totals = np.bincount(place, counts).astype(np.int64)
-    ends = np.cumsum([0, *sizes])
-    first = [int((totals > 0).sum()), *[0] * (len(sizes) - 1)], [int((totals == 1).sum()), *[0] * (len(sizes) - 1)]
-    return pd.DataFrame({"chunk": group["chunk"], "shard": group["shard"], "totals": [totals[place[a:b]].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], "distinct": first[0], "once": first[1]})
+    totals = np.bincount(place, np.concatenate([_unpack(c, "<u4") for c in group["counts"]])).astype(np.int64)
+    found = [int(x.sum()) for x in (totals > 0, totals == 1, totals == 2)]
+    more = len(group) - 1
+    return pd.DataFrame({
+        "chunk": group["chunk"], "part": group["shard"], "answer": [_pack(totals[place[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)],
+        "distinct": [found[0], *[0] * more], "once": [found[1], *[0] * more], "twice": [found[2], *[0] * more],
+    })
+
+
+def _answer(n_tokens: int):
+    """A cell: the trie of its pairs in training, and each chunk's codes from it."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        contexts = [np.frombuffer(c, np.uint64) for c in group["contexts"]]
+        runs = [_unpack(r, "<u4").astype(np.int64) for r in group["runs"]]
+        successors = [np.frombuffer(s, np.uint32) for s in group["successors"]]
+        counts = np.concatenate([_unpack(c, "<u4") for c in group["counts"]]).astype(np.int64)
+        v, w = np.concatenate([np.repeat(c, r) for c, r in zip(contexts, runs, strict=True)]), np.concatenate(successors)
+        learnt = np.flatnonzero(counts)
+        order = learnt[np.lexsort((w[learnt], v[learnt]))]
+        new = np.append(True, (v[order][1:] != v[order][:-1]) | (w[order][1:] != w[order][:-1])) if order.size else np.empty(0, bool)
+        n = np.add.reduceat(counts[order], np.flatnonzero(new)) if order.size else np.empty(0, np.int64)
+        trie = Trie.build(v[order][new], w[order][new], n / max(1, n_tokens)).mapped()
+        del v, w, order
+        answers = []
+        for c, r, s in zip(contexts, runs, successors, strict=True):
+            answers.append(_pack(trie.lookup(c, r, s)))
+        return pd.DataFrame({"chunk": group["chunk"], "part": group["cell"], "answer": answers})
+
+    return run
 
 
-def _score_chunk(n_tokens: int, distinct: int, once: int):
-    share = min(0.5, max(1e-6, once / n_tokens)) if n_tokens else 1.0
+def _score_chunk(n_tokens: int, distinct: int, once: int, twice: int, bits: int):
+    discount = once / (once + 2 * twice) if once else 0.5
     log_base = math.log10(n_tokens + 0.5 * (distinct + 1))
+    unknown = discount * distinct / n_tokens if n_tokens else 1.0
 
-    def run(chunk: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+    def run(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
-        totals = np.concatenate([np.frombuffer(t, np.int64) for t in replies.sort_values("shard")["totals"]])
-        ids, n = list(row["ids"]), len(row["ids"])
-        docs = np.frombuffer(row["docs"], np.uint32 if n > 65_536 else np.uint16).astype(np.int64)
-        times = np.frombuffer(row["times"], np.uint32)
-        word = np.repeat(np.arange(len(totals)), np.frombuffer(row["runs"], np.uint32))
-        spelled = np.frombuffer(row["spelled"], np.float32).astype(np.float64)
-        known = (1 - share) * totals / n_tokens if n_tokens else np.zeros(len(totals))
-        # log10(known + share * 10 ** spelled) without underflow
-        tail = math.log10(share) + spelled
-        log_p = np.where(known > 0, np.log10(np.maximum(known, 1e-300)) + np.log1p(10 ** np.minimum(tail - np.log10(np.maximum(known, 1e-300)), 300.0)) / math.log(10), tail)
-        size = np.asarray(row["sizes"], np.int64)
+        size, ids = np.asarray(row["sizes"], np.int64), list(row["ids"])
+        tokens, tops = _unpack(row["tokens"], "<u4"), _unpack(row["tops"], "<u2")
+        ordered = answers.sort_values("part")
+        totals = np.concatenate([_unpack(a, "<i8") for a in ordered["answer"][~ordered["is_pair"]]])
+        codes = np.concatenate([_unpack(a, "<u2") for a in ordered["answer"][ordered["is_pair"]]])
+        pairs = _Pairs(tokens, row["end"], tops, bits)
+        p1 = np.where(totals > 0, (totals - discount) / max(1, n_tokens), unknown)
+        joint = np.where(codes == NONE, 0.0, 10.0 ** (-codes.astype(np.float64) / STEP))
+        context = totals[pairs.v] / max(1, n_tokens)
+        p2 = np.where(context > 0, (1 - UNIGRAM) * joint / np.maximum(context, 1e-300) + UNIGRAM * p1[pairs.w], p1[pairs.w])
+        doc, n = np.repeat(np.arange(len(ids)), size), len(ids)
         return pd.DataFrame({
-            "doc_id": ids, "held_out": list(row["held"]), "n_tokens": size,
-            "n_known": np.bincount(docs, times * (totals[word] > 0), n).astype(np.int64), "train_tokens": n_tokens,
-            "base_score": np.bincount(docs, times * np.log10(totals + 0.5)[word], n) - size * log_base,
-            "score": np.bincount(docs, times * log_p[word], n),
-        }).astype({"doc_id": "Int64"})
+            "doc_id": pd.array(ids, "Int64"), "held_out": list(row["held"]), "n_tokens": size,
+            "n_known": np.bincount(doc, (totals > 0)[tokens], n).astype(np.int64), "train_tokens": n_tokens,
+            "base_score": np.bincount(doc, np.log10(totals + 0.5)[tokens], n) - size * log_base,
+            "score": np.bincount(doc, np.log10(np.minimum(p2, 1.0))[pairs.of_token], n),
+        })
 
     return run
 
 
-def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; learns from rows that aren't held out."""
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    trie = fit(source, order)
-    shared = df.sparkSession.sparkContext.broadcast(trie.dump())  # at most MAX_GRAMS nodes a level
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = 1 << max(2, math.ceil(math.log2(max(1, chars / SHARD_CHARS))))
-    made = materialise(_chunks(source, shared, shards), "lm-chunks")
-    chunks = made.where("shard < 0").select("chunk", "spelled", "runs", "docs", "times", "ids", "held", "sizes")
-    replies = made.where("shard >= 0").select("chunk", "shard", "words", "counts").groupBy("shard").applyInPandas(_add_up, "chunk long, shard int, totals binary, distinct long, once long")
-    replies = materialise(replies, "lm-totals")
-    n_tokens = made.where("shard < 0").agg(F.sum("train_tokens")).first()[0] or 0
-    distinct, once = (x or 0 for x in replies.agg(F.sum("distinct"), F.sum("once")).first())
+    # a grid of 2^bits by 2^bits cells, and as many shards of words
+    bits = min(_HASH_BITS // 2, max(1, math.ceil(math.log2(max(1, chars / CELL_CHARS)) / 2)))
+    made = materialise(_chunks(source), "lm-chunks")
+    n_tokens = made.agg(F.sum("train_tokens")).first()[0] or 0
+    words = made.select("chunk", "hashes", "tokens", "held", "sizes").mapInArrow(_word_rows(2 * bits), _WORDS).groupBy("shard").applyInPandas(_add_up, "chunk long, part int, answer binary, distinct long, once long, twice long")
+    words = materialise(words, "lm-words")
+    distinct, once, twice = (x or 0 for x in words.agg(F.sum("distinct"), F.sum("once"), F.sum("twice")).first())
+    cells = made.select("chunk", "hashes", "tops", "tokens", "end", "held", "sizes").mapInArrow(_pair_rows(bits), _CELLS).groupBy("cell").applyInPandas(_answer(n_tokens), "chunk long, part int, answer binary")
+    cells = materialise(cells, "lm-pairs")
+    answers = words.select("chunk", "part", "answer", F.lit(False).alias("is_pair")).unionByName(cells.withColumn("is_pair", F.lit(True)))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return chunks.groupBy("chunk").cogroup(replies.select("chunk", "shard", "totals").groupBy("chunk")).applyInPandas(_score_chunk(n_tokens, distinct, once), out)
+    chunks = made.select("chunk", "tops", "tokens", "end", "ids", "held", "sizes")
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_score_chunk(n_tokens, distinct, once, twice, bits), out)
