@@ -8,7 +8,8 @@ block is indexed); candidates are then verified by the exact weighted Jaccard
 similarity of five-word shingles, each weighing as often as it occurs: sum of
 minima over sum of maxima, SIMILARITY or more.
 
-Windows without a single shingle of any item have similarity 0 to all items and
+Windows that hold too few shingles of any item to reach the similarity (two
+sets of a and b shingles need SIMILARITY / (1 + SIMILARITY) * (a + b) in common)
 aren't fingerprinted; that loses nothing.
 
 The benchmark is the query set: its items are indexed on the driver and
@@ -21,6 +22,7 @@ text. Ties between windows go to the earliest. Empty tables give no rows.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -131,16 +133,22 @@ class Index:
     def _scan(self, h: np.ndarray, lo: int, hi: int, own: np.ndarray, found: dict) -> None:
         if not own.size:
             return
-        sums = np.zeros((hi - lo + 1, 128), np.int32)
-        np.cumsum(_signs(h[lo:hi]), axis=0, out=sums[1:])
+        sums = None
+        known = np.zeros(hi - lo + 1, np.int32)
+        known[own - lo + 1] = 1
+        np.cumsum(known, out=known)
         for n, of_length in self.of_length.items():
             size = min(n, hi - lo)
+            held, wanted = max(1, size - WORDS + 1), max(1, n - WORDS + 1)
+            least = math.ceil(SIMILARITY / (1 + SIMILARITY) * (held + wanted) - 1e-9)
+            # windows with enough hits inside
             starts = np.arange(hi - lo - size + 1)
-            # windows with a hit inside
-            inside = np.searchsorted(own - lo, starts + size - min(size, WORDS), side="right") > np.searchsorted(own - lo, starts)
-            starts = starts[inside]
+            starts = starts[known[starts + held] - known[starts] >= least]
             if not starts.size:
                 continue
+            if sums is None:
+                sums = np.zeros((hi - lo + 1, 128), np.int32)
+                np.cumsum(_signs(h[lo:hi]), axis=0, out=sums[1:])
             windows, items = self.within(_fingerprints(sums[starts + size] - sums[starts]))
             right = np.isin(items, of_length)
             for w, i in zip(windows[right].tolist(), items[right].tolist(), strict=True):
