@@ -49,7 +49,12 @@ def rule_of(host_col: Column, path_col: Column, rules: list[tuple[str, str]]) ->
 def features(host_col: Column, path_col: Column) -> Column:
     """Buckets of the character n-grams of "^host/path$"."""
     text = F.concat(F.lit("^"), host_col, path_col, F.lit("$"))
-    grams = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i, n=n: F.pmod(F.crc32(F.substring(text, i, F.lit(n))), F.lit(SIZE)).cast("int")) for n in GRAMS]
+
+    def buckets(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.pmod(F.crc32(F.substring(text, i, F.lit(n))), F.lit(SIZE)).cast("int"))
+
+    grams = [buckets(n) for n in GRAMS]
     return F.concat(*grams)
 
 
