@@ -165,6 +165,8 @@ class Model:
         return np.array([NOTHING if w is None else self.memo[w] for w in worst]), worst
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
+        if not self.slope:  # nothing was learnt
+            return np.zeros(len(margin))
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
@@ -304,7 +306,7 @@ def train(texts: list[str | None], labels: list[int], seed: int = 5) -> Model:
     fit = [x for i, x in enumerate(unique) if i % 4]
     toxic, clean = [b for b, y in fit if y], [b for b, y in fit if not y]
     if not toxic or not clean:
-        return Model(np.zeros(64**3, np.float32), -1.0, 0.0, -np.inf)
+        return Model(np.zeros(64**3, np.float32), -1.0, 0.0, 0.0)
     in_clean = Counter(w for b in clean for w in b)
     in_toxic = Counter(w for b in toxic for w in b)
     harmless = sorted(w for w, n in in_clean.items() if 10 * n >= in_toxic[w])
@@ -313,7 +315,7 @@ def train(texts: list[str | None], labels: list[int], seed: int = 5) -> Model:
     rest = [b for b in toxic if known.isdisjoint(b)]
     positive += _explaining(rest, in_clean, 3) or ([] if positive else _explaining(rest, in_clean, 1))
     if not positive:
-        return Model(np.zeros(64**3, np.float32), -1.0, 0.0, -np.inf)
+        return Model(np.zeros(64**3, np.float32), -1.0, 0.0, 0.0)
     negative = [harmless[i] for i in rng.permutation(len(harmless))[:NEGATIVES]]
     for turn in range(ROUNDS):
         model = Model(*_machine(positive, negative, rng), 1.0, 0.0)
