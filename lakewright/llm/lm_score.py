@@ -46,7 +46,7 @@ from .elias_fano import NONE, STEP, Trie
 from .runtime import materialise
 from .words import split_words
 
-CHUNK_TOKENS, CELL_CHARS, UNIGRAM = 1_500_000, 14_000_000, 0.7
+CHUNK_TOKENS, CELL_CHARS, UNIGRAM = 800_000, 14_000_000, 0.7
 END = b"\n"
 FOLDS, HELD = 5, 1
 _HASH_BITS = 16
