@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType
 def jaro_winkler_pair(a: str, b: str) -> float:
     """Jaro-Winkler similarity; the prefix bonus (0.1 a letter, four at most) applies above 0.7."""
     if not a or not b:
-        return 1.0 if a == b else 0.0
+        return 0.0
     reach = max(0, max(len(a), len(b)) // 2 - 1)
     taken, first = [False] * len(b), []
     for i, c in enumerate(a):

@@ -39,8 +39,9 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def with_path_metadata(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
-    """Columns read from the file's path: name -> pattern with one group."""
-    return df.withColumns({n: F.nullif(F.regexp_extract("_metadata.file_path", p, 1), F.lit("")) for n, p in patterns.items()})
+    """Columns read from the file's path (decoded): name -> pattern with one group."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return df.withColumns({n: F.nullif(F.regexp_extract(path, p, 1), F.lit("")) for n, p in patterns.items()})
 
 
 def newest_file(spark: SparkSession, pattern: str) -> str:

@@ -17,7 +17,8 @@ def read_events(spark, path: str, schema, files_per_trigger: int = 1000) -> Data
 
 def replay_safe(events: DataFrame, at: str, late: str = "60 days") -> DataFrame:
     """Each content once within the time that late data may take; state older than that is dropped."""
-    hashed = events.withColumn("hash", row_hash([c for c in events.columns]))
+    # watermarks need instants
+    hashed = events.withColumn("hash", row_hash(events.columns)).withColumn(at, F.col(at).cast("timestamp"))
     return hashed.withWatermark(at, late).dropDuplicatesWithinWatermark(["hash"])
 
 
