@@ -6,7 +6,9 @@ rules (sequences of identifiers). A rule that matches takes its sentences out, s
 more general rule doesn't report them again.
 
 Sentences end at ".", "!" or "?" before white space, and at line ends; a line
-that goes on in lower case (behind comment signs, if any) goes on the sentence. Normalised: lower case, without
+that goes on in lower case (behind comment signs, if any) goes on the sentence.
+Known sentences of LONG characters or more don't fit a line, so they are found
+across line ends whatever the next line starts with; a blank line ends them. Normalised: lower case, without
 comment signs and quotes, white space as one blank, no closing punctuation.
 
 Null and empty texts have no licence. Very long texts are read whole, inside
@@ -16,6 +18,8 @@ are reported each. Empty tables give no rows. Other columns are never read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +48,7 @@ SENTENCES = {
 }
 RULES = [
     ("MIT", ["MITperm", "MITnotice", "MITwarranty"]),
+    ("MIT", ["MITperm"]),
     ("MIT", ["MITref"]),
     ("Apache-2.0", ["Apache2head", "Apache2copy"]),
     ("Apache-2.0", ["Apache2head"]),
@@ -62,11 +67,24 @@ _GOES_ON = r"[ \t]*\r?\n[ \t*#/;%>-]*(?=[a-z(])"
 _ENDS = r"(?<=[.!?])\s+|\r?\n"
 _SIGNS = r"^[\s*#/;%>-]+|[\"'`“”]"
 _CLOSING = r"[\s.!?]+$"
+LONG = 80
+_QUOTES = "[\"'`“”]*"
+_GAP = r"(?:[ \t]+|[ \t]*\r?\n[ \t*#/;%>-]*)"
+
+
+def _wrapped(sentence: str) -> str:
+    """A pattern of the sentence with its quotes and line ends anywhere between words."""
+    words = [_QUOTES.join(re.escape(x) for x in re.findall(r"\w+|[^\w]", w)) for w in sentence.split()]
+    return rf"(?i)(?<!\w){(_QUOTES + _GAP + _QUOTES).join(words)}{_QUOTES}(?!\w)"
 
 
-def sentences(text: Column) -> Column:
+def sentences(text: Column, known: dict[str, str] | None = None) -> Column:
     """Normalised sentences of a text, in order."""
-    split = F.split(F.regexp_replace(text, _GOES_ON, " "), _ENDS)
+    unwrapped = text
+    for s in sorted(SENTENCES if known is None else known, key=len, reverse=True):
+        if len(s) >= LONG:
+            unwrapped = F.regexp_replace(unwrapped, _wrapped(s), f". {s}. ")
+    split = F.split(F.regexp_replace(unwrapped, _GOES_ON, " "), _ENDS)
     # known sentences are short; what is longer needs no normalising
     likely = F.filter(split, lambda s: s.rlike(HINT))
     return F.transform(likely, lambda s: F.lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(s, _SIGNS, ""), r"\s+", " "), _CLOSING, "")))
@@ -76,7 +94,7 @@ def identifiers(text: Column, known: dict[str, str] | None = None) -> Column:
     """Identifiers of the known sentences of a text, in order, without immediate repetitions."""
     known = SENTENCES if known is None else known
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    ids = F.filter(F.transform(sentences(text), lambda s: F.try_element_at(names, s)), lambda i: i.isNotNull())
+    ids = F.filter(F.transform(sentences(text, known), lambda s: F.try_element_at(names, s)), lambda i: i.isNotNull())
     # the empty first entry gives the fold a last element to compare with
     folded = F.aggregate(ids, F.array(F.lit("")), lambda a, i: F.when(F.element_at(a, -1) == i, a).otherwise(F.concat(a, F.array(i))))
     return F.slice(folded, 2, 1_000_000_000)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -127,6 +128,32 @@ def test_licences(spark):
     assert licences.recognise(df.limit(0)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+
+
+def test_wrapped_licence_texts(spark):
+    paragraphs, whole = MIT.split("\n\n"), [("MIT", "MITperm MITnotice MITwarranty")]
+    widths = ["\n\n".join(textwrap.fill(p, n) for p in paragraphs) for n in range(30, 100)]
+    texts = [(MIT, whole), ("MIT License\n\nCopyright (c) 2020 A. Name\n\n" + MIT, whole), ("\n".join(" * " + x for x in MIT.split("\n")), whole), (MIT.replace("\n", "\r\n"), whole)]
+    texts += [(t, whole) for t in widths] + [(paragraphs[0], [("MIT", "MITperm")]), (paragraphs[0].replace("\n", "\n\n"), []), (paragraphs[1], []), (paragraphs[0].replace("free of", "for"), [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.licence, r.sentences, r.n) for r in licences.recognise(df).collect()}
+    assert got == {(i, *m, 1) for i, (_, ms) in enumerate(texts) for m in ms}
+
+
 def test_licence_queries_find_every_line(spark, sf):
     lines = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "GPL-3.0-only": "This work is licensed under the GNU General Public License, version 3."}
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
