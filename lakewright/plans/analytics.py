@@ -107,12 +107,12 @@ def name_scores(t: Tables) -> DataFrame:
     return a.join(b, "g").select("a", "b", score.cast("long").alias("score"))
 
 
-def _er_frames(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Source records that name a chart, a tax id or a partner, and the charts with two roles each."""
+def _er_frames(t: Tables, every: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Source records (of every n-th customer) that name a chart, a tax id or a partner, and the charts with two roles each."""
     p = _people(t)
     k = F.col("k")
     tax = lambda n: F.lpad((n * 7919 + 12345678).cast("string"), 11, "0")
-    source = p.where("k % 3 = 0").select(
+    source = p.where(k % every == 0).select(
         F.when(k % 2 == 0, k).otherwise(k + 100000).cast("string").alias("id"), _source_name().alias("name"), F.when(k % 4 == 1, tax(k)).alias("cpf"), F.date_format(F.date_add(L("1980-01-01").cast("date"), (k % 5000).cast("int")), "yyyy-MM-dd").alias("birthdate"),
     )
     pick = lambda x, n: F.get(F.array(*map(L, x)), (n % len(x)).cast("int"))
@@ -154,8 +154,8 @@ SELECT s.num::VARCHAR AS source_id, s.name, coalesce(b.chart, -1)::BIGINT AS cha
 
 @query(_er_sql())
 def entity_resolution(t: Tables) -> DataFrame:
-    """All tiers over a corpus of invented people."""
-    source, patients = _er_frames(t)
+    """All tiers over a corpus of invented people; its SQL takes every third as a source."""
+    source, patients = _er_frames(t, 3)
     s = er.prepare_source(source, "id", "name", "birthdate", "cpf")
     return er.resolve(s, er.prepare_people(patients, links=["prontuario_esposa", "prontuario_marido"]))
 

@@ -21,3 +21,9 @@ def test_entry_contract(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("name", ["link_scored_match", "match_validation"])
+def test_matchers_without_sql_take_every_customer(spark, sf, name):
+    found = catalogue.QUERIES[name](spark, sf).select("source_id").collect()
+    assert {int(r.source_id) % 100_000 % 3 for r in found} == {0, 1, 2}
