@@ -278,6 +278,29 @@ def test_duplicate_spans_and_cut(spark, hard):
     assert {1, 2, 3} & whole
 
 
+def test_shared_passages_of_over_50_words_are_found_whole(spark):
+    r, rows, passages = random.Random(5), [], []
+    for k in range(300):
+        short = ["".join(r.choice("abcdefghijklmnoprstuvé") for _ in range(r.randrange(2, 6))) for _ in range((51, 4, 12)[k % 3])]
+        passages.append((short * 13)[:51])
+        rows += [(2 * k + i, " ".join([*words(f"{k}{i}a", 60), "|", *passages[k], "|", *words(f"{k}{i}b", 60)])) for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text, covered = dict(rows), {}
+    for s in chunk_dedup.duplicate_spans(df).collect():
+        data = text[s.doc_id].encode()
+        data[s.start : s.start + s.length].decode()
+        if s.doc_id % 2:
+            covered.setdefault(s.doc_id, set()).update(range(s.start, s.start + s.length))
+    cut = {r.doc_id: r.text for r in chunk_dedup.cut_duplicates(df).collect()}
+    for k, p in enumerate(passages):
+        passage, data = " ".join(p).encode(), text[2 * k + 1].encode()
+        at = data.index(passage)
+        assert set(range(at, at + len(passage))) <= covered.get(2 * k + 1, set()), k
+        assert len(cut[2 * k + 1]) < len(text[2 * k + 1]) - len(" ".join(p)) + 1
+        if k % 3 == 0:
+            assert passage.decode() in cut[2 * k]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 1 << 40), max_size=300))
 def test_elias_fano_access(values):
