@@ -128,6 +128,13 @@ def test_licences(spark):
     assert licences.recognise(df.limit(0)).count() == 0
 
 
+def test_url_table_allows_no_host_of_the_pages(spark):
+    """Else the clean verdicts there would be those of the table."""
+    stem = lambda url: re.sub(r"^(www|m|blog)\.", "", url.split("://")[-1].split("/")[0]).split(".")[0]
+    pages = {stem(r.url) for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect() if r.url}
+    assert pages.isdisjoint(url_filter.ALLOWED)
+
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
