@@ -1,22 +1,32 @@
 """Toxicity by a subsequence string-kernel SVM with Nystroem landmarks.
 
 A sentence is read as windows: its words, its runs of single letters joined
-("i d i o t"), and overlapping slices of over-long words. Kernel of two windows: the gap-weighted
-count of common subsequences of three symbols, weight DECAY per skipped
-position, over the windows' lengths; punctuation is a position that can only be
-skipped, so inserted characters cost decay instead of the match. Landmarks give
-the Nystroem map K(., Z) K(Z, Z)^-1/2, on which a linear squared-hinge SVM is
-trained. A text scores as its worst window, calibrated by a logistic curve.
+("i d i o t"), overlapping slices of over-long words, and two or three
+neighbouring words with the blanks between them ("wo rth less"). Kernel of two
+windows: the gap-weighted count of common subsequences of three symbols, weight
+DECAY per skipped position, over the windows' lengths; punctuation and blanks
+are positions that can only be skipped, so inserted characters cost decay
+instead of the match. Landmarks give the Nystroem map K(., Z) K(Z, Z)^-1/2, on
+which a linear squared-hinge SVM is trained.
 
 The decision function is a sum over landmarks of a dot product of subsequence
 weights, so it collapses, exactly, to one weight per subsequence: a table of
 64^3 numbers, whatever the data. That table is what the executors score with.
+Neighbouring words are joined where the table's weights of the two subsequences
+next to the blank reach a bound that nine tenths of split insults reach in training (and
+a tenth of ordinary neighbours at most).
+
+A text scores by a logistic curve over the margins of its TOP worst different
+words and its number of words; one word or one join is enough where its margin
+is one that hardly any clean text reaches, and none is toxic without a window
+on the toxic side.
 
 Labels belong to documents, so windows are labelled by multiple-instance rounds:
-a toxic document needs one toxic window, chosen to explain as many toxic and as
-few clean documents as possible, then re-chosen by the current machine; every
-window of a clean document is clean. Training uses a bounded sample of labelled
-rows (TRAIN_DOCS of each class, in order of a hash of the id).
+toxic windows are first those that occur in toxic documents more often than
+chance allows (words, and pairs of words that are harmless alone), then the ones
+that the current machine finds worst in each toxic document; windows of a clean
+document are clean. Training uses a bounded sample of labelled rows (TRAIN_DOCS
+of each class, in order of a hash of the id).
 
 Null and empty texts score as a text without any window. Very long texts are
 read whole. Repeated rows are scored each. Labels that contradict each other
@@ -26,6 +36,7 @@ learnt and every score is 0. Other columns are never read.
 
 from __future__ import annotations
 
+import heapq
 import re
 import unicodedata
 from collections import Counter
@@ -44,8 +55,14 @@ from .words import mix
 
 TRAIN_DOCS = 2000
 DECAY, SPAN, WINDOW, STRIDE = 0.6, 7, 20, 10
-LANDMARKS, NEGATIVES, ROUNDS = 160, 6000, 4
-THRESHOLD = 0.7
+LANDMARKS, NEGATIVES, ROUNDS, FOLDS = 384, 6000, 4, 3
+PER_DOCUMENT, TOP, RIDGE = 3, 4, 1e-4
+THRESHOLD, SHARP, ENOUGH = 0.7, 4.0, 0.002
+#: Documents that a window counts for at most; cost of a margin error.
+OFTEN, COST = 200, 1.0
+#: Longest stretch of text, in characters, that a join of words may cover.
+JOINED = 24
+_AT_THRESHOLD = float(np.log(THRESHOLD / (1 - THRESHOLD)))
 #: Margin of a text without any window.
 NOTHING = -9.0
 _EDGE = 1
@@ -136,13 +153,17 @@ def subsequences(windows: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, n
 
 @dataclass
 class Model:
-    """One weight per subsequence, the bias, and the calibration of a text's worst window."""
+    """One weight per subsequence, the bias, and the calibration of a text's margins."""
 
     weights: np.ndarray
     bias: float
-    slope: float
-    shift: float
-    memo: dict[str, float] = field(default_factory=dict, repr=False)
+    #: What the seam of two neighbouring words has to reach for them to be read as one window.
+    seam: float = np.inf
+    #: 0: nothing was learnt. Else the logistic curve's slope, a factor for each of a text's margins and a constant, and the margins from which a single window is enough: a word, a join.
+    slope: float = 0.0
+    factors: np.ndarray = field(default_factory=lambda: np.zeros(TOP + 2))
+    alone: tuple[float, float] = (np.inf, np.inf)
+    memo: dict[str, tuple[float, str]] = field(default_factory=dict, repr=False)
 
     def windows(self, windows: list[str]) -> np.ndarray:
         out = np.full(len(windows), self.bias, np.float64)
@@ -150,36 +171,91 @@ class Model:
             out[places] += np.einsum("bm,bm->b", self.weights[code], weight)
         return out
 
+    def _remember(self, words: set[str]) -> None:
+        """Margins of new words, each with its core; windows are remembered, so each worker scores a word once."""
+        new = [w for w in words if w not in self.memo]
+        cores = [_strip(w) for w in new]
+        parts = [slices(c) if c else [] for c in cores]
+        flat, at = self.windows([x for p in parts for x in p]).tolist(), 0
+        for w, c, p in zip(new, cores, parts, strict=True):
+            self.memo[w] = (max(flat[at : at + len(p)], default=NOTHING), c)
+            at += len(p)
+
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, list[str | None]]:
-        """Margin of each text's worst window, and that word; windows are remembered, so each worker scores a word once."""
+        """Of each text the margins of its TOP worst different words, of its worst join and the logarithm of its words; and the worst window."""
         if len(self.memo) > _MEMO_ENTRIES:
             self.memo.clear()
-        bags = [words_of(t) for t in texts]
-        new = [w for w in set().union(*bags) if w not in self.memo]
-        parts = [slices(s) if (s := _strip(w)) else [] for w in new]
-        flat, at = self.windows([x for p in parts for x in p]).tolist(), 0
-        for w, p in zip(new, parts, strict=True):
-            self.memo[w] = max(flat[at : at + len(p)], default=NOTHING)
-            at += len(p)
-        worst = [max(bag, key=self.memo.__getitem__, default=None) for bag in bags]
-        return np.array([NOTHING if w is None else self.memo[w] for w in worst]), worst
+        lower = [(t or "").lower() for t in texts]
+        bags = [words_of(t) for t in lower]
+        joined = [joins(t, self.weights, self.seam) for t in lower]
+        self._remember(set().union(*bags, *joined))
+        out, worst = np.full((len(texts), TOP + 2), NOTHING), []
+        for i, (bag, join) in enumerate(zip(bags, joined, strict=True)):
+            top = heapq.nlargest(TOP, {self.memo[w] for w in bag})
+            out[i, : len(top)] = [m for m, _ in top]
+            across = max((self.memo[w] for w in join), default=(NOTHING, None))
+            out[i, TOP], out[i, TOP + 1] = across[0], np.log1p(len(bag))
+            worst.append(max([*top[:1], across], key=lambda x: x[0])[1])
+        return out, worst
+
+    def probability(self, margins: np.ndarray) -> np.ndarray:
+        if not self.slope:
+            return np.zeros(len(margins))
+        z = self.slope * np.column_stack([_bounded(margins), np.ones(len(margins))]) @ self.factors
+        for column, enough in zip((0, TOP), self.alone, strict=True):
+            z = np.maximum(z, SHARP * (margins[:, column] - enough) + _AT_THRESHOLD)
+        # without a window on the toxic side a text isn't toxic, however short it is
+        z = np.minimum(z, SHARP * margins[:, [0, TOP]].max(axis=1) + _AT_THRESHOLD)
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def _bounded(margins: np.ndarray) -> np.ndarray:
+    """What the calibration sees of margins: the words', within 3 of the machine's edge, and the number of words."""
+    return np.column_stack([np.clip(margins[:, :TOP], -3, 3), margins[:, TOP + 1]])
+
+
+def words_of(lower: str) -> set[str]:
+    return {*lower.split(), *spelled(lower)}
 
-    def probability(self, margin: np.ndarray) -> np.ndarray:
-        if not self.slope:  # nothing was learnt
-            return np.zeros(len(margin))
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
+def _spaces() -> np.ndarray:
+    return np.array([chr(x).isspace() for x in range(0x10000)])
+
+
+_IS_SPACE = _spaces()
+
+
+def seams(lower: str, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text, and of each word but the first the weights of the two subsequences next to the blank before it."""
+    points = np.minimum(np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), "<u4"), 0xFFFF)
+    c = np.concatenate([[0, 0], _table()[points], [0, 0]])
+    blank = np.concatenate([[True], _IS_SPACE[points], [True]])
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
+    start, end = edge[0::2], edge[1::2]
+    # two places of c before a word's end, two from a word's start; blanks and punctuation are 0 and weigh nothing
+    a, b, d, e = c[end[:-1]], c[end[:-1] + 1], c[start[1:] + 2], c[start[1:] + 3]
+    return start, end, weights[(a * 64 + b) * 64 + d] * ((a > 0) & (b > 0) & (d > 0)) + weights[(b * 64 + d) * 64 + e] * ((b > 0) & (d > 0) & (e > 0))
 
-def words_of(text: str | None) -> set[str]:
-    lower = (text or "").lower()
-    return {*lower.split(), *spelled(lower)}
+
+def joins(lower: str, weights: np.ndarray, seam: float) -> set[str]:
+    """Two or three neighbouring words as one window, its blanks being skippable, where the subsequences at each seam speak for an insult."""
+    if not np.isfinite(seam):
+        return set()
+    start, end, at_seam = seams(lower, weights)
+    hit = np.flatnonzero(at_seam >= seam)
+    out = set()
+    for i in hit.tolist():
+        out.add((i, i + 1))
+    out |= {(i, i + 2) for i, j in zip(hit[:-1].tolist(), hit[1:].tolist(), strict=True) if j == i + 1}
+    found = {" ".join(lower[start[i] : end[j]].split()) for i, j in out if end[j] - start[i] <= JOINED}
+    return {w for w in found if len(w) + 2 <= WINDOW}
 
 
 def _variants(word: str, rng: np.random.Generator) -> list[str]:
     """The word with gaps and inserted characters, as insults are disguised."""
-    at = rng.integers(1, max(2, len(word)), 4)
+    at = rng.integers(1, max(2, len(word)), 5)
     letter = ["abcdefghijklmnopqrstuvwxyz"[i] for i in rng.integers(0, 26, 4)]
-    inserted = [word[:i] + c + word[i:] for i, c in zip(at, ("*", word[at[1] - 1], *letter[:2]), strict=True)]
+    inserted = [word[:i] + c + word[i:] for i, c in zip(at, ("*", word[at[1] - 1], *letter[:2], " "), strict=True)]
     return [*(c.join(word) for c in ".-_"), *inserted, letter[2] + word + letter[3]]
 
 
@@ -192,24 +268,24 @@ def _kernel(windows: list[str], landmarks: np.ndarray) -> np.ndarray:
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
-    """Primal squared-hinge SVM by Newton steps on the active set."""
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, wanted: np.ndarray, cost: float = COST) -> tuple[np.ndarray, float]:
+    """Primal squared-hinge SVM by Newton steps on the active set; each example has its wanted margin."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
     ridge = np.eye(x1.shape[1])
     ridge[-1, -1] = 1e-6
     w = np.zeros(x1.shape[1])
     for _ in range(30):
-        active = y * (x1 @ w) < 1
-        xa, ca = x1[active], cost * weight[active]
-        new = np.linalg.solve(ridge + (xa * ca[:, None]).T @ xa, (xa * ca[:, None]).T @ y[active])
+        active = y * (x1 @ w) < wanted
+        xa, ca, target = x1[active], cost * weight[active], (y * wanted)[active]
+        new = np.linalg.solve(ridge + (xa * ca[:, None]).T @ xa, (xa * ca[:, None]).T @ target)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
     return w[:-1], float(w[-1])
 
 
-def _machine(positive: list[str], negative: list[str], rng: np.random.Generator) -> tuple[np.ndarray, float]:
-    """Subsequence weights and bias of an SVM on the Nystroem map of windows."""
+def _machine(positive: list[str], negative: list[str], often: dict[str, int], balance: float, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+    """Subsequence weights and bias of an SVM on the Nystroem map of windows; a window weighs as often as documents of its class hold it, a toxic one `balance` times that."""
     marks = [*positive[: LANDMARKS // 2]]
     marks += [negative[i] for i in rng.permutation(len(negative))[: LANDMARKS - len(marks)]]
     codes: set[int] = set()
@@ -226,11 +302,14 @@ def _machine(positive: list[str], negative: list[str], rng: np.random.Generator)
     values, vectors = np.linalg.eigh(_kernel(marks, table).astype(np.float64))
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])
-    disguised = [v for p in positive for u in _variants(p.strip("\x01"), rng) for v in slices(u)]
-    windows = [*positive, *disguised, *negative]
-    y = np.array([1.0] * (len(positive) + len(disguised)) + [-1.0] * len(negative))
-    weight = np.where(y > 0, len(negative) / max(1, (y > 0).sum()), 1.0)
-    w, bias = _svm(_kernel(windows, table).astype(np.float64) @ whiten, y, weight)
+    weighed = [(p, often[p], 1) for p in positive] + [(n, often[n], -1) for n in negative]
+    disguised = [(v, often[p] / 8, 1) for p in positive for u in _variants(p.strip("\x01"), rng) for v in slices(u)]
+    windows, counts, y = zip(*weighed, *disguised, strict=True)
+    y = np.array(y, float)
+    weight = np.clip(counts, 1 / 8, OFTEN) * np.where(y > 0, balance, 1.0)
+    # what is in many toxic documents has to be clearer than what is in a few
+    wanted = 1 + np.where(y > 0, np.log10(np.clip(counts, 1, OFTEN)), 0)
+    w, bias = _svm(_kernel(windows, table).astype(np.float64) @ whiten, y, weight, wanted)
     weights = np.zeros(64**3, np.float32)
     weights[sorted(codes - {0})] = (z[1:] @ (whiten @ w)).astype(np.float32)
     return weights, bias
@@ -284,83 +363,139 @@ def _one_of_each(bags: list[set[str]]) -> list[int]:
     return out
 
 
-def _significant(toxic: Counter, clean: Counter, n1: int, n0: int) -> list[str]:
-    """Windows that occur in toxic documents more often than chance among all windows allows, and at least ten times as often."""
-    least, q, out = np.log(len(toxic) / 0.05), n1 / (n1 + n0), []
+def _significant(toxic: Counter, clean: Counter, n1: int, n0: int, false: float = 0.05) -> list[str]:
+    """Windows that occur in toxic documents more often than chance allows, and at least ten times as often; a share of `false` may be chance (Benjamini and Hochberg, on Chernoff's bound)."""
+    q, found = np.log(n1 / (n1 + n0)), []
+    r = np.log(n0 / (n1 + n0))
     for w, n in toxic.items():
         c = clean[w]
-        p = n / (n + c)
-        if n > 10 * c and n * np.log(p / q) + (c and c * np.log((1 - p) / (1 - q))) > least:
-            out.append(w)
-    return sorted(out, key=lambda w: (-toxic[w], w))
+        if n > 10 * c:
+            found.append((-n * (np.log(n / (n + c)) - q) - (c and c * (np.log(c / (n + c)) - r)), w))
+    found.sort()
+    last = max((k for k, (log_p, _) in enumerate(found, 1) if log_p <= np.log(k / len(toxic) * false)), default=0)
+    return sorted((w for _, w in found[:last]), key=lambda w: (-toxic[w], w))
+
+
+def _pairs(lower: str) -> set[str]:
+    """Neighbouring words with the blank between them, short enough for a window."""
+    core: dict[str, str] = {}
+    words = [core[w] if w in core else core.setdefault(w, _strip(w)) for w in lower.split()]
+    return {f"\x01{a} {b}\x01" for a, b in zip(words[:-1], words[1:], strict=True) if a and b and len(a) + len(b) + 3 <= WINDOW}
+
+
+@dataclass(frozen=True)
+class _Document:
+    """A labelled document: its text, words (between edges, sliced) and pairs of neighbouring words."""
+
+    lower: str
+    toxic: bool
+    words: set[str]
+    pairs: set[str]
 
 
 def train(texts: list[str | None], labels: list[int], seed: int = 5) -> Model:
-    """The model of labelled texts; three quarters train the machine, one quarter its calibration."""
+    """The model of labelled texts. All of them train the machine; its calibration is of the margins that machines trained on the other FOLDS - 1 parts give each part."""
     rng = np.random.default_rng(seed)
-    bags = [{v for w in words_of(t) if (s := _strip(w)) for v in slices(s)} for t in texts]
-    order = rng.permutation(len(bags))
-    bags, labels = [bags[i] for i in order], [labels[i] for i in order]
-    kept = _one_of_each(bags)
-    unique = [(bags[i], labels[i]) for i in kept]
-    fit = [x for i, x in enumerate(unique) if i % 4]
-    toxic, clean = [b for b, y in fit if y], [b for b, y in fit if not y]
+    documents = []
+    for i in rng.permutation(len(texts)):
+        lower = (texts[i] or "").lower()
+        words = {v for w in words_of(lower) if (core := _strip(w)) for v in slices(core)}
+        documents.append(_Document(lower, bool(labels[i]), words, _pairs(lower)))
+    documents = [documents[i] for i in _one_of_each([d.words for d in documents])]
+    model = _learn(documents, rng)
+    if model is None:
+        return Model(np.zeros(64**3, np.float32), -1.0)
+    margins, toxic = [], []
+    for k in range(FOLDS):
+        part, others = documents[k::FOLDS], [d for i, d in enumerate(documents) if i % FOLDS != k]
+        judge = _learn(others, rng)
+        if judge is not None and part:
+            margins.append(np.concatenate([judge.texts([d.lower for d in part[lo : lo + 256]])[0] for lo in range(0, len(part), 256)]))
+            toxic += [d.toxic for d in part]
+    if not margins:  # too few documents for parts
+        margins, toxic = [model.texts([d.lower for d in documents])[0]], [d.toxic for d in documents]
+    _calibrate(model, np.concatenate(margins), np.array(toxic, float))
+    return model
+
+
+def _learn(documents: list[_Document], rng: np.random.Generator) -> Model | None:
+    """A machine and its bound on seams, not yet calibrated; None without anything that tells toxic documents."""
+    toxic, clean = [d for d in documents if d.toxic], [d for d in documents if not d.toxic]
     if not toxic or not clean:
-        return Model(np.zeros(64**3, np.float32), -1.0, 0.0, 0.0)
-    in_clean = Counter(w for b in clean for w in b)
-    in_toxic = Counter(w for b in toxic for w in b)
-    harmless = sorted(w for w, n in in_clean.items() if 10 * n >= in_toxic[w])
+        return None
+    in_toxic, in_clean = Counter(w for d in toxic for w in d.words), Counter(w for d in clean for w in d.words)
     positive = _significant(in_toxic, in_clean, len(toxic), len(clean))
     known = set(positive)
-    rest = [b for b in toxic if known.isdisjoint(b)]
-    positive += _explaining(rest, in_clean, 3) or ([] if positive else _explaining(rest, in_clean, 1))
+    # insults of two words that are harmless alone
+    pairs_toxic = Counter(p for d in toxic for p in d.pairs)
+    often = {p for p, n in pairs_toxic.items() if n >= 3}
+    pairs_clean = Counter(p for d in clean for p in d.pairs & often)
+    two = [p for p in _significant(pairs_toxic, pairs_clean, len(toxic), len(clean)) if p in often and not any(f"\x01{w}\x01" in known for w in p.strip("\x01").split(" "))]
+    two = two[: LANDMARKS // 4]
+    rest = [d.words for d in toxic if known.isdisjoint(d.words)]
+    positive += _explaining(rest, in_clean, 3) or ([] if positive or two else _explaining(rest, in_clean, 1))
+    positive += two
     if not positive:
-        return Model(np.zeros(64**3, np.float32), -1.0, 0.0, 0.0)
+        return None
+    harmless = sorted(w for w, n in in_clean.items() if n >= in_toxic[w])
+    ordinary = sorted({p for i in rng.permutation(len(clean))[: NEGATIVES // 20] for p in clean[i].pairs} - set(two))
     negative = [harmless[i] for i in rng.permutation(len(harmless))[:NEGATIVES]]
+    negative += [ordinary[i] for i in rng.permutation(len(ordinary))[: NEGATIVES // 4]]
+    counts = {**in_toxic, **{p: pairs_toxic[p] for p in two}, **dict.fromkeys(ordinary, 1), **{w: in_clean[w] for w in harmless}}
+    candidates = sorted({w for w, n in in_toxic.items() if n > 10 * in_clean[w]})
     for turn in range(ROUNDS):
-        model = Model(*_machine(positive, negative, rng), 1.0, 0.0)
+        model = Model(*_machine(positive, negative, counts, len(clean) / len(toxic), rng))
         if turn + 1 == ROUNDS:
             break
         worst = model.windows(harmless)
         hard = np.argsort(-worst)[: NEGATIVES // 4]
         negative = list(dict.fromkeys([*(harmless[i] for i in hard if worst[i] > -1), *negative]))
-        scores: dict[str, float] = {}
-        candidates = sorted({w for b in toxic for w in b if in_toxic[w] > 10 * in_clean[w]})
-        for w, s in zip(candidates, model.windows(candidates), strict=True):
-            scores[w] = s
-        again = [max((w for w in b if w in scores), key=lambda w: (scores[w], w), default=None) for b in toxic]
-        positive = list(dict.fromkeys([*positive, *(w for w in again if w and scores[w] > 0.5)]))
-    held = [x for i, x in enumerate(unique) if not i % 4] or unique
-    margin = np.array([model.windows(sorted(b)).max() if b else NOTHING for b, _ in held])
-    model.slope, model.shift = _calibrate(margin, np.array([y for _, y in held], float))
+        scores = dict(zip(candidates, model.windows(candidates), strict=True))
+        again = [w for d in toxic for w in heapq.nlargest(PER_DOCUMENT, d.words & scores.keys(), key=lambda w: (scores[w], w)) if scores[w] > 0.5]
+        positive = list(dict.fromkeys([*positive, *again]))
+    split = [*two, *(a + " " + b for w in positive if w not in two for a, b in _halves(w.strip("\x01")))]
+    at_seam = np.array([seams(w, model.weights)[2].max() for w in split] or [0.0])
+    usual = np.concatenate([seams(d.lower, model.weights)[2] for d in clean[: NEGATIVES // 20]] + [np.zeros(1)])
+    # most split insults, and a tenth of ordinary neighbours at most
+    model.seam = float(max(np.quantile(at_seam, 0.1), np.quantile(usual, 0.9), 1e-6))
     return model
 
 
-def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Platt's logistic curve (both classes weighing the same, smoothed targets), moved to reach THRESHOLD where the classes part."""
+def _halves(word: str) -> list[tuple[str, str]]:
+    return [(word[:i], word[i:]) for i in range(2, len(word) - 1)]
+
+
+def _calibrate(model: Model, margins: np.ndarray, y: np.ndarray) -> None:
+    """A logistic curve of the worst words' margins and the number of words (Platt: both classes weighing the same, smoothed targets), moved to reach THRESHOLD where the classes part.
+
+    Where a single window is enough: above the margin that a share of ENOUGH of the clean texts reaches.
+    """
     n1, n0 = max(1.0, y.sum()), max(1.0, (1 - y).sum())
     target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     weight = np.where(y > 0, 0.5 / n1, 0.5 / n0)
-    x = np.column_stack([margin, np.ones_like(margin)])
-    w = np.array([1.0, 0.0])
+    x = np.column_stack([_bounded(margins), np.ones(len(margins))])
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + 1e-4 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (weight * (p - target)) + 1e-4 * w)
+        h = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + RIDGE * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (weight * (p - target)) + RIDGE * w)
         w = w - np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    slope = max(float(w[0]), 1e-3)
-    return slope, float(np.log(THRESHOLD / (1 - THRESHOLD))) - slope * _split(margin, y)
+    w[-1] += _AT_THRESHOLD - _split(x @ w, y)
+    model.slope, model.factors = 1.0, w
+    highest = np.sort(margins[y == 0], axis=0)[::-1][int(ENOUGH * n0) :][:1]
+    if len(highest):
+        model.alone = tuple(float(max(highest[0, c], 0.0) + 1 / SHARP) for c in (0, TOP))
 
 
 def _split(margin: np.ndarray, y: np.ndarray) -> float:
-    """The margin that parts the classes with the fewest errors, a rejected clean text counting thrice; in the middle of its gap."""
+    """The margin that parts the classes with the fewest errors, a rejected clean text counting twice; in the middle of its gap."""
     order = np.argsort(margin, kind="stable")
     m, t = margin[order], y[order]
     missed = np.concatenate([[0.0], np.cumsum(t)])
     rejected = np.concatenate([[0.0], np.cumsum((1 - t)[::-1])])[::-1]
-    at = int((missed + 3 * rejected).argmin())
+    at = int((missed + 2 * rejected).argmin())
     low, high = m[at - 1] if at else m[0] - 1, m[at] if at < len(m) else m[-1] + 1
     return float((low + high) / 2)
 
@@ -370,18 +505,19 @@ def fold(id_col: str, of: int = 3) -> F.Column:
 
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_docs: int = TRAIN_DOCS) -> Model:
-    """Train on a sample of at most train_docs labelled documents of each class, from the rows whose crc32(id) mod 3 is not 1."""
+    """Train on a sample of at most train_docs labelled documents of each class, from the rows whose crc32(id) mod 3 is not 1; of an id's texts the least one is read."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
     known = known.where(fold("id") != 1).groupBy("id").agg(F.max("y").alias("y"))
     picked = [known.where(c).orderBy(F.xxhash64("id"), "id").limit(train_docs) for c in ("y = 1", "y = 0")]
     sample = picked[0].unionByName(picked[1])  # 2 * train_docs rows at most
-    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").limit(4 * train_docs).toPandas()
-    rows = rows.sort_values(["id", "text"], kind="stable")
+    texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    rows = texts.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y")).toPandas()
+    rows = rows.sort_values("id", kind="stable")
     return train(rows["text"].tolist(), rows["y"].tolist())
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, worst (the window that decides) of every row."""
+    """doc_id, score, worst (the window of the highest margin) of every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # 64^3 numbers
     source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -389,8 +525,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                margin, worst = shared.value.texts([t.as_py() for t in part.column(1)])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(shared.value.probability(margin)), pa.array(worst, pa.string())], names=["doc_id", "score", "worst"])
+                margins, worst = shared.value.texts([t.as_py() for t in part.column(1)])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(shared.value.probability(margins)), pa.array(worst, pa.string())], names=["doc_id", "score", "worst"])
 
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, score double, worst string")
 

@@ -57,6 +57,45 @@ def test_collapsed_weights_equal_the_kernel_expansion():
             assert all(abs(got[k] - scale * plain[k]) < 1e-5 for k in plain)
 
 
+def test_toxicity_across_blanks(model):
+    for text in ("the block head ly", "oh bl ock head an", "nit wit ha", "hator ni twit orly", "block\nhead"):
+        assert verdict(model, text), text
+
+
+def test_toxicity_of_words_that_are_harmless_alone():
+    r = random.Random(2)
+    word = lambda: "".join(r.choice(("en", "ti", "ha", "or", "ly", "the", "an")) for _ in range(r.randrange(1, 4)))
+    texts, labels = [], []
+    for i in range(400):
+        words, toxic = [word() for _ in range(60)], i % 3 == 0
+        for w in ("sour", "milk"):  # both occur in all texts, next to each other in toxic ones only
+            words.insert(r.randrange(10, 20) if w == "sour" else r.randrange(40, 50), w)
+        if toxic:
+            words[30:30] = ["sour", "milk"]
+        texts.append(" ".join(words))
+        labels.append(int(toxic))
+    learnt = toxicity.train(texts, labels)
+    assert verdict(learnt, "the enti sour milk haor")
+    for text in ("the sour enti haor milk", "sour orly", "milk sour"):
+        assert not verdict(learnt, text), text
+
+
+def test_toxicity_of_repeated_rows_and_clashing_columns(spark, model):
+    rows = [(1, "the blockhead ly", 0.5, "x"), (1, "the blockhead ly", 0.5, "x"), (2, "the enti", None, None), (None, None, 0.1, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score double, worst string")
+    got = sorted(((r.doc_id or 0), r.score >= toxicity.THRESHOLD) for r in toxicity.score(df, model).collect())
+    assert got == [(0, False), (1, True), (1, True), (2, False)]
+    left = toxicity.drop_toxic(df, model)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id or 0) for r in left.collect()) == [0, 2]
+
+
+def test_toxicity_reads_one_text_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(i, t) for i in range(40) for t in ("en ti ha blockhead", "en ti ha blockhead", None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels, train_docs=5).slope in (0.0, 1.0)
+
+
 def test_toxicity_without_classes_or_rows(spark):
     nothing = toxicity.train(["a b"], [0])
     docs = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string")
@@ -68,16 +107,16 @@ def test_toxicity_without_classes_or_rows(spark):
 
 
 def test_toxicity_held_out_accuracy(spark):
-    """Learnt from two thirds of the labels; judged on the rest (about 300 toxic texts to learn from; a fifth of the toxic ones here hold no word that marks them)."""
+    """Learnt from two thirds of the labels; judged on the rest (about 300 toxic texts to learn from; of the toxic ones here one in twenty is junk without any insult)."""
     d = "/root/testdata/sf0.1"
     documents, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     scored = toxicity.score(documents.join(labels.where(toxicity.fold("doc_id") == 1), "doc_id"), toxicity.fit(documents, labels))
     got = scored.join(labels, "doc_id").select("toxic", "score").collect()
     right = [r for r in got if (r.score >= toxicity.THRESHOLD) == bool(r.toxic)]
-    assert len(right) / len(got) > 0.95
+    assert len(right) / len(got) > 0.98
     caught = [r for r in got if r.toxic and r.score >= toxicity.THRESHOLD]
-    assert len(caught) / sum(r.toxic for r in got) > 0.65
-    assert sum(not r.toxic and r.score >= toxicity.THRESHOLD for r in got) < 0.015 * len(got)
+    assert len(caught) / sum(r.toxic for r in got) > 0.9
+    assert sum(not r.toxic and r.score >= toxicity.THRESHOLD for r in got) <= 0.01 * sum(not r.toxic for r in got)
 
 
 URLS = [None, "", "no scheme", "http://", "https://M.Example.ORG/es/x?q#f", "https://example.org/en/12", "https://notexample.org/en/1", "http://a.com/fr/", "http://a.com/de/1?x", "http://a.com", "x://y://z/w", "https://casino-win.example.net/en/5", "https://library.example.net/en/5", "http://h/" + "p" * 20_000]
