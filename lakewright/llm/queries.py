@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import url_filter
 from .runtime import table
 
 #: Where the public tokenizers' files are; a parameter, as they are no part of this library.
@@ -64,10 +65,8 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import url_filter
-
     weights = url_filter.train(url_filter.labelled(spark))
-    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), weights, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), weights, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +97,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_two_fit_packing, op3_lm_score, op4_exact_dedup, op5_minhash_near_dedup, op6_url_filter, op7_licence_scan, op8_chunk_dedup, op9_warc_bundles, op10_decontamination)}
 
 ORACLE_SQL = {
+    "op6_url_filter": url_filter.oracle_sql(URL_RULES),
     "op9_warc_bundles": """
 WITH sized AS (
     SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
