@@ -198,8 +198,8 @@ def test_licences(spark):
     rows = [
         (1, "Text.\nReleased under the MIT License.\nMore", [("MIT", "MITref", 1)]), (2, mit, [("MIT", "MITperm MITnotice MITwarranty", 1)]), (3, None, []), (4, "", []), (5, "A licence is a thing.", []),
         (6, "Licensed under CC BY-NC 4.0.\nx\nLicensed under the Apache License, Version 2.0. Fine", [("Apache-2.0", "Apache2ref", 1), ("CC-BY-NC-4.0", "CCBYNC4ref", 1)]),
-        (7, "# This work is licensed under the\n# GNU General Public License, version 3.", []), (8, "// Released under the\n// mit license!", [("MIT", "MITref", 1)]),
-        (9, "warranty " * 30_000, []), (10, "This is released under the MIT License.", []), (None, "released under the mit license", [("MIT", "MITref", 1)]),
+        (7, "# This work is licensed under the\n# GNU General Public License, version 3.", [("GPL-3.0-only", "GPL3ref", 1)]), (8, "// Released under the\n// mit license!", [("MIT", "MITref", 1)]),
+        (9, "warranty " * 30_000, []), (10, "This is released under the MIT License.", [("MIT", "MITref", 1)]), (None, "released under the mit license", [("MIT", "MITref", 1)]),
     ]
     df = spark.createDataFrame([(i, t, "clash") for i, t, _ in rows], "doc_id long, text string, licence string")
     got = Counter((r.doc_id, r.licence, r.sentences, r.n) for r in licences.recognise(df).collect())
@@ -240,6 +240,148 @@ def test_wrapped_licence_texts(spark):
     assert got == {(i, *m, 1) for i, (_, ms) in enumerate(texts) for m in ms}
 
 
+BSD = """Redistribution and use in source and binary forms, with or without modification,
+are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3. Neither the name of the Example Organisation nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+
+
+def test_licences_by_their_texts(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n"
+    rows = [
+        (BSD, "BSD-2-Clause", 1), (BSD + ENDORSE, "BSD-3-Clause", 1), (APACHE, "Apache-2.0", 1), (APACHE.replace("# ", "").replace("#", ""), "Apache-2.0", 1), ("SPDX-License-Identifier: MIT", "MIT", 1), ("// SPDX-License-Identifier: AGPL-3.0-or-later\nint x;", "AGPL-3.0-or-later", 1),
+        ("The code is licensed under the MIT License.", "MIT", 1), (gpl.format(""), "GPL-3.0-or-later", 1), (gpl.format("Affero "), "AGPL-3.0-or-later", 1), ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0", 1),
+        ("To the extent possible under law, A. Name\nhas waived all copyright and related or neighboring rights to\nThis Work.", "CC0-1.0", 1), ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0", 1),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC", 1),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.", "0BSD", 1),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows * 2)], "doc_id long, text string").unionByName(spark.createDataFrame([(0, rows[0][0])], "doc_id long, text string"))
+    got = Counter((r.doc_id, r.licence, r.n) for r in licences.recognise(df).collect())
+    assert got == Counter([*((i, *m[1:]) for i, m in enumerate(rows * 2)), (0, *rows[0][1:])])
+
+
+def test_licences_of_given_sentences(spark):
+    df = spark.createDataFrame([(1, "Zap zap zap. Fine"), (2, "zap"), (3, "released under the MIT License")], "doc_id long, text string")
+    got = licences.recognise(df, known={"zap zap zap": "Z"}, rules=[("ZAP", ["Z"])]).collect()
+    assert [(r.doc_id, r.licence, r.sentences, r.n) for r in got] == [(1, "ZAP", "Z", 1)]
+    assert licences.recognise(df, known={}, rules=[]).count() == 0
+
+
+def test_every_known_sentence_is_found_and_hinted(spark):
+    known = list(licences.SENTENCES)
+    assert all(re.search(licences.hint(licences.SENTENCES), s) for s in known)
+    df = spark.createDataFrame([(i, f"Text.\n{s.replace('<name>', 'A. Name').upper()}.\nmore") for i, s in enumerate(known)], "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in df.select("doc_id", licences.identifiers(df["text"]).alias("ids")).collect()}
+    assert {i: licences.SENTENCES[s] for i, s in enumerate(known)} == {i: ids[0] for i, ids in got.items() if len(ids) == 1}
+
+
+def brute_licences(text):
+    """By the docstring: long sentences over words anywhere, short ones as whole sentences, then rules over the list."""
+    plain = lambda x: re.sub("[\"'`“”]", "", x).lower()
+    text = re.sub(r"(?i)(spdx-license-identifier:[ \t]*[\w.+-]+)", r"\1. ", text)
+    tokens = [(m[0], m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+    marks, used = [], [False] * len(text)
+    for s in sorted((s for s in licences.SENTENCES if len(s) >= licences.LONG and "<name>" not in s), key=lambda s: (-len(s), s)):
+        want = s.split()
+        for i in range(len(tokens)):
+            k, j = 0, i
+            while k < len(want) and j < len(tokens):
+                gap = text[tokens[j - 1][2] : tokens[j][1]] if k else ""
+                if k and not set(tokens[j][0]) - set("*#/;%>-") and "\n" in gap and "\n" not in text[tokens[j][2] : tokens[j][2] + 1]:
+                    j += 1  # a line's comment signs
+                    continue
+                if gap.count("\n") > 1:
+                    break
+                word = plain(tokens[j][0])
+                if word != want[k] and not (k == len(want) - 1 and word.rstrip(".!?") == want[k]):
+                    break
+                j, k = j + 1, k + 1
+            if k == len(want) and not any(used[tokens[i][1] : tokens[j - 1][2]]):
+                used[tokens[i][1] : tokens[j - 1][2]] = [True] * (tokens[j - 1][2] - tokens[i][1])
+                marks.append((tokens[i][1], tokens[j - 1][2], licences.SENTENCES[s]))
+    out, at = [], 0
+    for lo, hi, name in [*sorted(marks), (len(text), len(text), None)]:
+        lines, whole = text[at:lo].split("\n"), []
+        for line in lines:
+            bare = line.lstrip(" \t*#/;%>-")
+            goes_on = whole and bare and (bare[0].islower() and bare[0].isascii() or bare[0] == "(" or re.search(r"(,|\b(a|of|or|and|the|under))$", whole[-1].rstrip(" \t")))
+            if goes_on:
+                whole[-1] = whole[-1].rstrip(" \t") + " " + bare
+            else:
+                whole.append(line)
+        for line in whole:
+            for x in re.split(r"(?<=[.!?])\s+", line):
+                x = re.sub(r"[\s.!?]+$", "", re.sub(r"\s+", " ", re.sub("[\"'`“”]", "", re.sub(r"^[\s*#/;%>-]+", "", x))).lower())
+                if x in licences.SENTENCES:
+                    out.append(licences.SENTENCES[x])
+        if name:
+            out.append(name)
+        at = hi
+    ids = [x for i, x in enumerate(out) if not i or out[i - 1] != x]
+    found = Counter()
+    for licence, want in licences.RULES:
+        i = 0
+        while i + len(want) <= len(ids):
+            if ids[i : i + len(want)] == want:
+                ids[i : i + len(want)] = [None]
+                found[licence, " ".join(want)] += 1
+            i += 1
+    return found
+
+
+def test_licences_equal_brute_force(spark):
+    r = random.Random(8)
+    known = [s for s in licences.SENTENCES if "<name>" not in s]
+    texts = licences.TEXTS
+    long = [s for s in texts if "<name>" not in s]
+    docs = []
+    for i in range(150):
+        parts = []
+        for _ in range(r.randrange(0, 6)):
+            s = r.choice(r.choice((known, long, ["The cat sat.", "Licence to sing.", "Under the bridge without permission."])))
+            s = r.choice((str.capitalize, str.upper, str))(s) + r.choice((".", ".", ""))
+            if s.lower().rstrip(".") in texts and r.random() < 0.5:
+                s = textwrap.fill(s, r.randrange(30, 90), break_long_words=False, break_on_hyphens=False)
+            parts.append(s)
+        docs.append(r.choice(("\n", "\n\n")).join(parts))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = Counter()
+    for x in licences.recognise(df).collect():
+        got[x.doc_id, x.licence, x.sentences] += x.n
+    want = Counter({(i, *k): n for i, d in enumerate(docs) for k, n in brute_licences(d).items()})
+    assert got == want
+
+
+def test_licence_scan_of_the_table_equals_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    got = {(x.doc_id, x.licence, x.sentences): x.n for x in queries.QUERIES["op7_licence_scan"](spark, sf).collect()}
+    word = re.compile("licen|permission", re.I)
+    assert got == {(d.doc_id, *k): n for d in docs if word.search(d.text or "") for k, n in brute_licences(d.text).items()}
+
+
 def test_licence_queries_find_every_line(spark, sf):
     lines = {"MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "GPL-3.0-only": "This work is licensed under the GNU General Public License, version 3."}
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
