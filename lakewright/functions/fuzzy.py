@@ -38,8 +38,9 @@ def jaro_winkler_pair(a: str, b: str) -> float:
 
 @F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Arrow batches; evaluate it on rows that equi joins and cheaper rules have left."""
-    return pd.Series([None if x is None or y is None else jaro_winkler_pair(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    """Arrow batches, each pair of texts once; evaluate it on rows that equi joins and cheaper rules have left."""
+    known = {(x, y): None if x is None or y is None else jaro_winkler_pair(x, y) for x, y in set(zip(a, b, strict=True))}
+    return pd.Series([known[pair] for pair in zip(a, b, strict=True)], dtype="float64")
 
 
 #: Endings that tell genders apart, and words that don't count as shared.

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import row_hash
+from ..session import materialise
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -61,3 +62,23 @@ def retain(df: DataFrame, at: str, as_of: Column, days: int) -> DataFrame:
 def duplicate_audit(df: DataFrame, keys: list[str]) -> DataFrame:
     """rows, distinct keys and the difference, as one row."""
     return df.agg(F.count("*").alias("n_rows"), F.count_distinct(F.struct(*keys)).alias("n_keys")).withColumn("n_duplicates", F.col("n_rows") - F.col("n_keys"))
+
+
+def line_numbers(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """df with the place of each row in a total order, from 1, without a single task.
+
+    Rows are range-partitioned once and written; a part's rows are counted, and
+    each is numbered within its part behind the rows of the parts before it.
+    """
+    parts = materialise(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "line-numbers")
+    sizes = parts.groupBy("__part").agg(F.count("*").alias("__n"))  # a row per part
+    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))).drop("__n")
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return parts.join(F.broadcast(before), "__part").withColumn(out, (place + F.coalesce("__before", F.lit(0))).cast("long")).drop("__part", "__before")
+
+
+def null_aware_anti(df: DataFrame, listed: DataFrame, key: str, listed_key: str) -> DataFrame:
+    """Rows of df that SQL's NOT IN keeps: none where the list holds a null, all where it is empty, else those not listed whose key isn't null."""
+    facts = listed.agg(F.coalesce(F.max(F.col(listed_key).isNull()), F.lit(False)).alias("__null"), F.count("*").alias("__n"))  # one row
+    rest = df.join(listed.select(F.col(listed_key).alias("__listed")), F.col(key) == F.col("__listed"), "left_anti")
+    return rest.join(F.broadcast(facts), (F.col("__n") == 0) | (~F.col("__null") & F.col(key).isNotNull()), "inner").drop("__null", "__n")

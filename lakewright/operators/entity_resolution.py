@@ -1,8 +1,8 @@
 """Tiered entity resolution: who a source record is, by tax id, own chart, partner chart or birth date, confirmed by name.
 
 Both sides are normalised once; every tier is an equi join, so candidates come
-from hash or merge joins only; the cheap name score runs on all of them and
-Jaro-Winkler, a Python function, only on those that need it: direct-id candidates that
+from hash or merge joins only; names are scored once per distinct pair, and
+Jaro-Winkler, a Python function, runs only on pairs that need it: those of direct-id candidates that
 the cheap score rejects. One window picks the best match.
 """
 
@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import jaro_winkler, name_score
+from ..functions.fuzzy import PREPOSITIONS, jaro_winkler, name_score
 from ..functions.text import name_full, name_words, phonetic_fold
 from ..functions.values import tax_id
+from ..session import materialise
 from .reshape import discover_roles, unpivot_links, unpivot_roles
 
 COUPLE = 0.72
@@ -36,7 +37,7 @@ def prepare_source(df: DataFrame, id_col: str, name_col: str, birth_col: str | N
 
 
 def prepare_people(patients: DataFrame, code: str = "codigo", links: list[str] | None = None, inactive: str = "inativo") -> DataFrame:
-    """One row per chart, role and link: chart, link_id, priority, role, cand_* columns, and the words of every role of the chart (roles).
+    """One row per chart, role and link: chart, link_id, priority, role, cand_* columns, and the names of all people of the chart (roles).
 
     A chart's own code links all its roles with priority 1; a link column links
     its own role with the role's priority.
@@ -45,7 +46,7 @@ def prepare_people(patients: DataFrame, code: str = "codigo", links: list[str] |
     names = [f"{r}_nome" for r in roles]
     folded = patients.withColumns({n: F.col(n).cast("string") for n in names})
     links = [c for c in (links or []) if c in patients.columns]
-    everyone = F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"{r}_nome").alias("nome")) for r in roles])
+    everyone = F.array(*[F.col(n) for n in names])
     base = folded.select(F.col(code).cast("long").alias("chart"), F.coalesce(F.col(inactive).cast("string"), F.lit("0")).alias("inactive"), everyone.alias("roles"), *[c for c in folded.columns if c.startswith(tuple(f"{r}_" for r in roles))], *links)
     people = unpivot_roles(base, ["chart", "inactive", "roles"], list(roles), ["nome", "cpf", "nascimento"])
     own = people.select("*", F.col("chart").alias("link_id"), F.lit(1).alias("priority"))
@@ -60,8 +61,7 @@ def prepare_people(patients: DataFrame, code: str = "codigo", links: list[str] |
     birth = F.coalesce(F.try_to_date("nascimento", "d/M/yyyy"), F.col("nascimento").try_cast("date"))
     out = own.where(F.col("nome").isNotNull()).select("chart", "inactive", "role", "link_id", "priority", "roles", F.col("nome").alias("cand_name"), tax_id(F.col("cpf")).alias("cand_tax"), birth.alias("cand_birth"))
     out = out.withColumns({"cand_words": name_words(F.col("cand_name")), "cand_full": name_full(F.col("cand_name"))})
-    scored = F.transform("roles", lambda r: F.struct(r["nome"].alias("nome"), name_words(r["nome"]).alias("words"), phonetic_fold(F.get(name_words(r["nome"]), F.lit(0))).alias("fold"), name_full(r["nome"]).alias("full")))
-    return out.withColumns({"cand_fold": phonetic_fold(F.get("cand_words", F.lit(0))), "roles": scored})
+    return out.withColumns({"cand_fold": phonetic_fold(F.get("cand_words", F.lit(0))), "roles": F.array_distinct("roles")})
 
 
 def candidates(source: DataFrame, people: DataFrame) -> DataFrame:
@@ -78,25 +78,39 @@ def candidates(source: DataFrame, people: DataFrame) -> DataFrame:
     return linked.unionByName(taxed)
 
 
-def score_candidates(pairs: DataFrame) -> DataFrame:
-    """pairs with `score`: the least of the candidate's own score and those of the chart's other people."""
-    s = [F.col(c) for c in ("words", "fold")]
-    own = name_score(s[0], F.col("cand_words"), s[1], F.col("cand_fold"))
-    rest = F.array_min(F.transform("roles", lambda r: name_score(s[0], r["words"], s[1], r["fold"])))
-    scored = pairs.withColumn("score", F.least(own, rest))
-    # the couple rule only matters where all else fails and the id is direct
-    needs = (F.col("score") == 5) & F.col("tier").isin(0, 3) & F.col("full").isNotNull()
-    sure = scored.where(~F.coalesce(needs, F.lit(False)))
-    unsure = scored.where(needs).withColumn("person", F.explode(F.array_distinct(F.transform("roles", lambda r: F.struct(r["words"].alias("words"), r["fold"].alias("fold"), r["full"].alias("full"))))))
-    # a row with nothing to compare keeps its rejection, which the ranking drops
-    unsure = unsure.where(F.col("person.full").isNotNull()).withColumn("couple", jaro_winkler(F.col("full"), F.col("person.full")) >= COUPLE)
-    rescored = unsure.withColumn("score", name_score(s[0], F.col("person.words"), s[1], F.col("person.fold"), F.col("couple"))).where("score < 5")
-    return sure.unionByName(rescored.drop("person", "couple"))
+def score_names(pairs: DataFrame) -> DataFrame:
+    """Distinct (name, nome, direct) with `score`, and `couple_score` where the id is direct.
+
+    Words, folds and scores are computed once per pair of names, however many
+    candidates share it; Jaro-Winkler only where all else fails and the id is direct.
+    """
+    words = pairs.withColumns({"p": name_words(F.col("name")), "c": name_words(F.col("nome"))})
+    folded = words.withColumns({"pf": phonetic_fold(F.get("p", F.lit(0))), "cf": phonetic_fold(F.get("c", F.lit(0)))})
+    scored = folded.withColumn("score", name_score(*map(F.col, ("p", "c", "pf", "cf"))))
+    # the couple rule adds evidence for the first name; what follows from the words is as in the score
+    shared = F.filter("p", lambda w: F.array_contains("c", w))
+    strong = F.size(F.filter(shared, lambda w: ~w.isin(PREPOSITIONS))) >= 2
+    unsure = F.col("direct") & (F.col("score") == 5) & (F.size("p") > 0) & (F.size("c") > 0) & strong
+    settled = scored.withColumn("unsure", F.coalesce(unsure, F.lit(False)))
+    couple = jaro_winkler(name_full(F.col("name")), name_full(F.col("nome"))) >= COUPLE
+    better = F.when(F.array_contains("c", F.try_element_at("p", F.lit(-1))), 2).when(F.size(shared) > 1, 3).otherwise(4)
+    rescored = settled.where("unsure").withColumn("couple_score", F.when(couple, better).otherwise(5))
+    return settled.where("NOT unsure").withColumn("couple_score", F.col("score")).unionByName(rescored).select("name", "nome", "score", "couple_score")
 
 
 def resolve(source: DataFrame, people: DataFrame) -> DataFrame:
-    """source_id, name, chart (-1: none), tier, score, matched_name: one row per source id and name."""
-    scored = score_candidates(candidates(source, people)).where("score < 5")
+    """source_id, name, chart (-1: none), tier, score, matched_name: one row per source id and name.
+
+    A candidate scores as the best of the names of its chart. Ids and names are
+    joined first, written once, and their distinct pairs of names scored.
+    """
+    s = source.select("source_id", "source_number", "name", "tax", "birth", "original_chart")
+    p = people.select("chart", "inactive", "link_id", "priority", "roles", "cand_name", "cand_tax", "cand_birth")
+    each = candidates(s, p).withColumn("nome", F.explode("roles")).withColumn("direct", F.col("tier").isin(0, 3))
+    each = materialise(each.drop("roles", "tax", "birth", "cand_tax", "cand_birth"), "er-candidates")
+    names = score_names(each.groupBy("name", "nome").agg(F.max("direct").alias("direct"))).withColumnsRenamed({"name": "__n", "nome": "__c"})
+    scored = each.join(names, F.col("name").eqNullSafe(F.col("__n")) & F.col("nome").eqNullSafe(F.col("__c")))
+    scored = scored.withColumn("score", F.when(F.col("direct"), F.col("couple_score")).otherwise(F.col("score"))).where("score < 5")
     best = Window.partitionBy("source_id", "name").orderBy(
         F.col("tier"), F.when(F.col("inactive") == "0", 0).otherwise(1), F.when(F.col("link_id") == F.col("source_number"), 0).otherwise(1), F.col("score"), F.col("priority"),
         F.when(F.col("chart") == F.col("original_chart"), 0).otherwise(1), F.col("chart").desc(), F.col("cand_name").asc_nulls_last(),

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -19,15 +21,15 @@ class Rule:
 
 
 def waterfall(
-    left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: list[Rule], consume: str = "both", cut: Callable[[DataFrame], DataFrame] | None = None
+    left: DataFrame, right: DataFrame, left_id: str, right_id: str, rules: list[Rule], consume: str = "both", cut: Callable[[DataFrame], DataFrame] | None = materialise
 ) -> DataFrame:
     """left_id, right_id, step of the matched pairs.
 
     consume="both": a rule sees rows unmatched on either side and keeps pairs
     that are each other's first choice (1:1). consume="left": only left rows are
     used up, several left rows may match one right row. First choice: least
-    distance, then the ids. cut: writes and re-reads a step's pairs where the
-    chain is long (for instance checkpoint()), so each rule plans on stored keys.
+    distance, then the ids. cut: writes and re-reads each step's pairs, so that every
+    rule is planned once and on stored keys, however long the chain is.
     """
     pairs = None
     for step, rule in enumerate(rules, 1):
@@ -50,9 +52,8 @@ def waterfall(
         else:
             found = found.withColumn("__l", by_left).where("__l = 1")
         found = found.select(left_id, right_id, F.lit(step).cast("long").alias("step"))
+        found = cut(found) if cut else found
         pairs = found if pairs is None else pairs.unionByName(found)
-        if cut:
-            pairs = cut(pairs)
     return pairs
 
 

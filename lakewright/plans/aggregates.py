@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.dedup import duplicate_audit, keep_first, keep_latest, keep_latest_ties, numbered
+from ..operators.dedup import duplicate_audit, keep_first, keep_latest, keep_latest_ties, line_numbers, numbered
 from ..operators.kpi import group_mode, impute_mode
 from ..operators.timeline import first_event_cohort, prior_count
 from .registry import Tables, query
@@ -165,7 +165,8 @@ def mode_impute(t: Tables) -> DataFrame:
     return impute_mode(d, ["o_custkey"], "p").select("o_orderkey", "p")
 
 
-@query("SELECT md5(event_id::VARCHAR) AS k, row_number() OVER (ORDER BY ts, event_id) AS line FROM events WHERE event_id < 500")
+@query("SELECT md5(event_id::VARCHAR) AS k, row_number() OVER (ORDER BY ts, event_id) AS line FROM events")
 def global_row_number(t: Tables) -> DataFrame:
-    """A global line number over a bounded result."""
-    return t.events.where("event_id < 500").select(F.md5(F.col("event_id").cast("string")).alias("k"), F.row_number().over(Window.orderBy("ts", "event_id")).cast("long").alias("line"))
+    """A global line number over all rows, without a single task."""
+    numbered = line_numbers(t.events.select("event_id", "ts"), ["ts", "event_id"], "line")
+    return numbered.select(F.md5(F.col("event_id").cast("string")).alias("k"), "line")

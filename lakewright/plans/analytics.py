@@ -15,42 +15,46 @@ from .registry import Tables, query
 
 L = F.lit
 
-_STEPS = """l AS (SELECT l_orderkey * 10 + l_linenumber AS lid, o_custkey AS ck, l_shipdate::DATE AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 30),
+_STEPS = """l AS (SELECT l_orderkey * 10 + l_linenumber AS lid, o_custkey AS ck, l_shipdate::DATE AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 r AS (SELECT o_orderkey AS rid, o_custkey AS ck, o_orderdate::DATE AS d FROM orders)"""
 
 
 def _sides(t: Tables) -> tuple[DataFrame, DataFrame]:
-    left = t.lineitem.where("l_quantity > 30").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("lid"), F.col("o_custkey").alias("ck"), F.to_date("l_shipdate").alias("d"))
+    left = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("lid"), F.col("o_custkey").alias("ck"), F.to_date("l_shipdate").alias("d"))
     return left, t.orders.select(F.col("o_orderkey").alias("rid"), F.col("o_custkey").alias("ck"), F.to_date("o_orderdate").alias("d"))
 
 
-def _rules() -> list[Rule]:
+#: Days that the rules allow, one after the other: the strict six, and nine whose last ones are tolerant.
+STRICT, TOLERANT = (0, 1, 2, 3, 5, 7), (0, 1, 2, 3, 5, 7, 14, 30, 60)
+
+
+def _rules(days: tuple[int, ...]) -> list[Rule]:
     gap = F.abs(F.datediff(F.col("l.d"), F.col("r.d")))
-    return [Rule([("ck", "ck"), ("d", "d")]), Rule([("ck", "ck")], gap <= 3, gap), Rule([("ck", "ck")], gap <= 7, gap)]
+    return [Rule([("ck", "ck"), ("d", "d")]) if n == 0 else Rule([("ck", "ck")], gap <= n, gap) for n in days]
 
 
-def _waterfall_sql(both: bool) -> str:
+def _waterfall_sql(days: tuple[int, ...], both: bool) -> str:
     ctes, seen = [_STEPS], []
-    for i, on in enumerate(("l.d = r.d", "abs(date_diff('day', l.d, r.d)) <= 3", "abs(date_diff('day', l.d, r.d)) <= 7"), 1):
+    for i, on in enumerate((f"abs(date_diff('day', l.d, r.d)) <= {n}" if n else "l.d = r.d" for n in days), 1):
         left = "".join(f" AND l.lid NOT IN (SELECT lid FROM m{j})" for j in seen)
         right = "".join(f" AND r.rid NOT IN (SELECT rid FROM m{j})" for j in seen) if both else ""
         gap = "abs(date_diff('day', l.d, r.d))"
         ranks = f"row_number() OVER (PARTITION BY lid ORDER BY {gap}, rid) AS a, row_number() OVER (PARTITION BY rid ORDER BY {gap}, lid) AS b"
         ctes.append(f"m{i} AS (SELECT lid, rid, {i}::BIGINT AS step FROM (SELECT lid, rid, {ranks} FROM l JOIN r ON l.ck = r.ck AND {on}{left}{right}) WHERE a = 1{' AND b = 1' if both else ''})")
         seen.append(i)
-    return "WITH " + ", ".join(ctes) + " SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m3"
+    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(f"SELECT * FROM m{i}" for i in seen)
 
 
-@query(_waterfall_sql(True))
+@query(_waterfall_sql(STRICT, True))
 def waterfall_one_to_one(t: Tables) -> DataFrame:
     left, right = _sides(t)
-    return waterfall(left, right, "lid", "rid", _rules())
+    return waterfall(left, right, "lid", "rid", _rules(STRICT))
 
 
-@query(_waterfall_sql(False))
+@query(_waterfall_sql(TOLERANT, False))
 def waterfall_left(t: Tables) -> DataFrame:
     left, right = _sides(t)
-    return waterfall(left, right, "lid", "rid", _rules(), consume="left")
+    return waterfall(left, right, "lid", "rid", _rules(TOLERANT), consume="left")
 
 
 #: Invented names, for a corpus of people made from customer keys.
@@ -98,21 +102,22 @@ def _score_sql(p: str, c: str, pf: str, cf: str) -> str:
 WHEN NOT (list_contains({c}, {p}[1]) OR coalesce({near}, false) OR coalesce({two}, false)) THEN 5 WHEN list_contains({c}, {p}[-1]) THEN 2 WHEN len(list_filter({p}, lambda w: list_contains({c}, w))) > 1 THEN 3 ELSE 4 END)::BIGINT"""
 
 
-@query(f"""WITH {_NAMES}, w AS (SELECT k, {_words_sql(_SOURCE_NAME)} AS p, {_words_sql("f || ' ' || n")} AS c0 FROM names), o AS (SELECT a.k AS a, b.k AS b, a.p, b.c0 AS c FROM w a JOIN w b ON a.k % 97 = b.k % 97 AND b.k < 300)
+@query(f"""WITH {_NAMES}, w AS (SELECT k, {_words_sql(_SOURCE_NAME)} AS p, {_words_sql("f || ' ' || n")} AS c0 FROM names), o AS (SELECT a.k AS a, b.k AS b, a.p, b.c0 AS c FROM w a JOIN w b ON b.k BETWEEN a.k - 3 AND a.k + 3)
 SELECT a, b, {_score_sql("p", "c", _fold_sql("p[1]"), _fold_sql("c[1]"))} AS score FROM o""")
 def name_scores(t: Tables) -> DataFrame:
     w = _people(t).select("k", name_words(_source_name()).alias("p"), name_words(F.concat("f", L(" "), "n")).alias("c"))
-    a, b = w.select(F.col("k").alias("a"), "p", (F.col("k") % 97).alias("g")), w.where("k < 300").select(F.col("k").alias("b"), "c", (F.col("k") % 97).alias("g"))
+    # each name against those of the seven keys around it
+    a, b = w.select(F.col("k").alias("a"), "p", F.explode(F.sequence(F.col("k") - 3, F.col("k") + 3)).alias("b")), w.select(F.col("k").alias("b"), "c")
     score = name_score(F.col("p"), F.col("c"), phonetic_fold(F.get("p", L(0))), phonetic_fold(F.get("c", L(0))))
-    return a.join(b, "g").select("a", "b", score.cast("long").alias("score"))
+    return a.join(b, "b").select("a", "b", score.cast("long").alias("score"))
 
 
-def _er_frames(t: Tables, every: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Source records (of every n-th customer) that name a chart, a tax id or a partner, and the charts with two roles each."""
+def _er_frames(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Source records that name a chart, a tax id or a partner, and the charts with two roles each."""
     p = _people(t)
     k = F.col("k")
     tax = lambda n: F.lpad((n * 7919 + 12345678).cast("string"), 11, "0")
-    source = p.where(k % every == 0).select(
+    source = p.select(
         F.when(k % 2 == 0, k).otherwise(k + 100000).cast("string").alias("id"), _source_name().alias("name"), F.when(k % 4 == 1, tax(k)).alias("cpf"), F.date_format(F.date_add(L("1980-01-01").cast("date"), (k % 5000).cast("int")), "yyyy-MM-dd").alias("birthdate"),
     )
     pick = lambda x, n: F.get(F.array(*map(L, x)), (n % len(x)).cast("int"))
@@ -124,12 +129,13 @@ def _er_frames(t: Tables, every: int = 1) -> tuple[DataFrame, DataFrame]:
     return source, patients
 
 
-def _er_sql() -> str:
+def _er_sql(links: bool = True) -> str:
     tax = "lpad(({} * 7919 + 12345678)::VARCHAR, 11, '0')".format
     roles = []
     for role, pri in (("esposa", 2), ("marido", 3)):
         roles.append(f"SELECT codigo AS chart, codigo AS link_id, 1 AS priority, {role}_nome AS nome, {role}_cpf AS cpf, {role}_nascimento AS nasc, e_w, m_w, inativo FROM pw")
-        roles.append(f"SELECT codigo, prontuario_{role}, {pri}, {role}_nome, {role}_cpf, {role}_nascimento, e_w, m_w, inativo FROM pw WHERE prontuario_{role} IS NOT NULL")
+        if links:
+            roles.append(f"SELECT codigo, prontuario_{role}, {pri}, {role}_nome, {role}_cpf, {role}_nascimento, e_w, m_w, inativo FROM pw WHERE prontuario_{role} IS NOT NULL")
     fold = _fold_sql
     own, e, m = (_score_sql("p", c, fold("p[1]"), fold(f"{c}[1]")) for c in ("c", "e_w", "m_w"))
     full = lambda w: f"array_to_string({w}, ' ')"
@@ -140,7 +146,7 @@ def _er_sql() -> str:
         strong = f"len(list_filter({shared}, lambda w: w NOT IN ('de', 'da', 'do', 'dos', 'das', 'e', 'a', 'o'))) >= 2"
         return f"CASE WHEN {s} = 5 AND tier IN (0, 3) AND len({c}) > 0 AND jaro_winkler_similarity(p_full, {full(c)}) >= 0.72 AND {strong} THEN CASE WHEN list_contains({c}, p[-1]) THEN 2 WHEN len({shared}) > 1 THEN 3 ELSE 4 END ELSE {s} END"
 
-    return f"""WITH {_NAMES}, src AS (SELECT DISTINCT CASE WHEN k % 2 = 0 THEN k ELSE k + 100000 END AS num, {_SOURCE_NAME} AS name, CASE WHEN k % 4 = 1 THEN {tax('k')} END AS cpf, (DATE '1980-01-01' + (k % 5000)::INTEGER) AS birth FROM names WHERE k % 3 = 0),
+    return f"""WITH {_NAMES}, src AS (SELECT DISTINCT CASE WHEN k % 2 = 0 THEN k ELSE k + 100000 END AS num, {_SOURCE_NAME} AS name, CASE WHEN k % 4 = 1 THEN {tax('k')} END AS cpf, (DATE '1980-01-01' + (k % 5000)::INTEGER) AS birth FROM names),
 s AS (SELECT *, {_words_sql('name')} AS p FROM src), s2 AS (SELECT *, {full('p')} AS p_full FROM s),
 pat AS (SELECT k AS codigo, f || ' ' || n AS esposa_nome, {tax('k')} AS esposa_cpf, (DATE '1980-01-01' + (k % 5000)::INTEGER) AS esposa_nascimento, {_sql_list(FIRST)}[(k + 5) % 12 + 1] || ' ' || {_sql_list(LAST)}[(k + 3) % 7 + 1] AS marido_nome,
 NULL::VARCHAR AS marido_cpf, NULL::DATE AS marido_nascimento, CASE WHEN k % 9 = 0 THEN '1' ELSE '0' END AS inativo, k + 100000 AS prontuario_esposa, CASE WHEN k % 2 = 0 THEN k + 99997 END AS prontuario_marido FROM names),
@@ -154,15 +160,22 @@ SELECT s.num::VARCHAR AS source_id, s.name, coalesce(b.chart, -1)::BIGINT AS cha
 
 @query(_er_sql())
 def entity_resolution(t: Tables) -> DataFrame:
-    """All tiers over a corpus of invented people; its SQL takes every third as a source."""
-    source, patients = _er_frames(t, 3)
+    """All tiers over a corpus of invented people, each of whom is a source, too."""
+    source, patients = _er_frames(t)
     s = er.prepare_source(source, "id", "name", "birthdate", "cpf")
     return er.resolve(s, er.prepare_people(patients, links=["prontuario_esposa", "prontuario_marido"]))
 
 
-@query()
+_SIMILAR, _MONTH = "jaro_winkler_similarity(a, b)", "day(birth) = 1 AND date_trunc('month', birth) = date_trunc('month', nasc)"
+
+
+@query(f"""WITH er AS ({_er_sql(links=False)}), {_NAMES}, person AS (SELECT CASE WHEN k % 2 = 0 THEN k ELSE k + 100000 END AS num, {_SOURCE_NAME} AS name, CASE WHEN k % 4 = 1 THEN lpad((k * 7919 + 12345678)::VARCHAR, 11, '0') END AS cpf, (DATE '1980-01-01' + (k % 5000)::INTEGER) AS birth FROM names),
+pat AS (SELECT k AS codigo, f || ' ' || n AS nome, lpad((k * 7919 + 12345678)::VARCHAR, 11, '0') AS own, (DATE '1980-01-01' + (k % 5000)::INTEGER) AS nasc FROM names),
+pairs AS (SELECT source_id, chart, cpf, own, birth, nasc, array_to_string({_words_sql("person.name")}, ' ') AS a, array_to_string({_words_sql("pat.nome")}, ' ') AS b FROM er JOIN person ON er.source_id = person.num::VARCHAR AND er.name = person.name JOIN pat ON chart = codigo)
+SELECT source_id, chart, concat_ws(',', CASE WHEN cpf IS NOT NULL AND cpf <> own THEN 'CPF_MISMATCH' END, CASE WHEN birth <> nasc AND NOT ({_MONTH}) AND {_SIMILAR} < 0.85 THEN 'DOB_MISMATCH' END,
+CASE WHEN birth <> nasc AND NOT ({_MONTH}) AND {_SIMILAR} >= 0.85 THEN 'DOB_WARNING' END, CASE WHEN {_SIMILAR} < 0.75 THEN 'NAME_MISMATCH' END) AS flags FROM pairs""")
 def match_validation(t: Tables) -> DataFrame:
-    """Flags against matches; rows only, as the flags are checked in tests."""
+    """Flags against matches."""
     source, patients = _er_frames(t)
     s = er.prepare_source(source, "id", "name", "birthdate", "cpf")
     people = er.prepare_people(patients)
@@ -195,11 +208,11 @@ def weighted_forecast(t: Tables) -> DataFrame:
     return kpi.weighted_forecast(_deals(t), "value").select("stage", "n_open", F.round("weighted_value", 2).alias("weighted_value"))
 
 
-@query("""WITH top AS (SELECT user_id, event_id % 3 AS g, max(CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 END) AS step FROM events WHERE value > 150 GROUP BY 1, 2),
+@query("""WITH top AS (SELECT user_id, event_id % 3 AS g, max(CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 END) AS step FROM events GROUP BY 1, 2),
 r AS (SELECT s.step, s.stage, count(top.step) AS reached FROM (VALUES (1::BIGINT, 'signup'), (2, 'view'), (3, 'click'), (4, 'purchase')) s(step, stage) LEFT JOIN (SELECT user_id * 3 + g AS k, step FROM top) top ON top.step >= s.step GROUP BY 1, 2)
 SELECT step, stage, reached, round(reached / nullif(coalesce(lag(reached) OVER (ORDER BY step), reached), 0), 6) AS step_rate, round(reached / nullif(first_value(reached) OVER (ORDER BY step), 0), 6) AS overall_rate FROM r""")
 def funnel(t: Tables) -> DataFrame:
-    e = t.events.where("value > 150").select((F.col("user_id") * 3 + F.col("event_id") % 3).alias("k"), "event_type")
+    e = t.events.select((F.col("user_id") * 3 + F.col("event_id") % 3).alias("k"), "event_type")
     f = kpi.funnel(e, "k", "event_type", ["signup", "view", "click", "purchase"])
     return f.select("step", "stage", "reached", F.round("step_rate", 6).alias("step_rate"), F.round("overall_rate", 6).alias("overall_rate"))
 
@@ -215,11 +228,11 @@ def change_classify(t: Tables) -> DataFrame:
 
 
 @query("""SELECT coalesce(c.k, p.k) AS k, coalesce(n_cycles, 0) AS n_cycles, coalesce(n_payments, 0) AS n_payments, round(coalesce(amount, 0), 2) AS amount, CASE WHEN coalesce(n_cycles, 0) > 0 AND coalesce(n_payments, 0) = 0 THEN 'cycles_without_payment' WHEN coalesce(n_cycles, 0) = 0 THEN 'payment_without_cycles'
-WHEN n_cycles > n_payments THEN 'more_cycles' WHEN n_cycles < n_payments THEN 'more_payments' ELSE 'balanced' END AS status FROM (SELECT user_id AS k, count(*) AS n_cycles FROM events WHERE event_type = 'view' AND value > 100 GROUP BY 1) c
-FULL JOIN (SELECT o_custkey AS k, count(*) AS n_payments, sum(o_totalprice) AS amount FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1) p ON c.k = p.k""")
+WHEN n_cycles > n_payments THEN 'more_cycles' WHEN n_cycles < n_payments THEN 'more_payments' ELSE 'balanced' END AS status FROM (SELECT user_id AS k, count(*) AS n_cycles FROM events WHERE event_type = 'view' GROUP BY 1) c
+FULL JOIN (SELECT o_custkey AS k, count(*) AS n_payments, sum(o_totalprice) AS amount FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) p ON c.k = p.k""")
 def financial_summary(t: Tables) -> DataFrame:
-    cycles = t.events.where("event_type = 'view' AND value > 100").select(F.col("user_id").alias("k"))
-    payments = t.orders.where("o_custkey % 3 <> 0").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("amount"))
+    cycles = t.events.where("event_type = 'view'").select(F.col("user_id").alias("k"))
+    payments = t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("amount"))
     return kpi.financial_summary(cycles, payments, "k").withColumn("amount", F.round("amount", 2))
 
 

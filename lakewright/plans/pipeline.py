@@ -47,9 +47,9 @@ def unseen_or_open(t: Tables) -> DataFrame:
     return cdc.unseen_or_open(t.orders, stored, ["o_custkey"], F.col("open"))
 
 
-@query("""SELECT o_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 40) ON o_orderkey = l_orderkey""")
+@query("""SELECT o_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""")
 def header_detail_flatten(t: Tables) -> DataFrame:
-    details = t.lineitem.where("l_quantity > 40").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_partkey")).alias("items"))
+    details = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_partkey")).alias("items"))
     nested = t.orders.select("o_orderkey").join(details, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
     return cdc.flatten_details(nested, "items")
 
@@ -133,11 +133,11 @@ def inventory_balance(t: Tables) -> DataFrame:
     return timeline.inventory_balance(moves, "l_suppkey", "d", "q", bad).select("l_suppkey", "d", F.round("moved", 2).alias("moved"), F.round("balance", 2).alias("balance"))
 
 
-@query("""WITH c AS (SELECT o_custkey AS k, date_trunc('month', o_orderdate)::DATE AS m, count(*) AS n FROM orders WHERE o_custkey < 200 GROUP BY 1, 2), e AS (SELECT k, min(m) AS a, greatest(min(m), CASE WHEN max(n) > 1 THEN DATE '2001-12-01' ELSE max(m) END) AS b FROM c GROUP BY 1),
+@query("""WITH c AS (SELECT o_custkey AS k, date_trunc('month', o_orderdate)::DATE AS m, count(*) AS n FROM orders GROUP BY 1, 2), e AS (SELECT k, min(m) AS a, greatest(min(m), CASE WHEN max(n) > 1 THEN DATE '2001-12-01' ELSE max(m) END) AS b FROM c GROUP BY 1),
 g AS (SELECT k, unnest(generate_series(a, b, INTERVAL 1 MONTH))::DATE AS m FROM e) SELECT g.k, g.m, c.n, last_value(c.n IGNORE NULLS) OVER (PARTITION BY g.k ORDER BY g.m ROWS UNBOUNDED PRECEDING) AS filled FROM g LEFT JOIN c ON g.k = c.k AND g.m = c.m""")
 def densify_ffill(t: Tables) -> DataFrame:
     """A month for every month of a customer, to a fixed end where any balance was above 1, else to the last cell."""
-    cells = t.orders.where("o_custkey < 200").groupBy(F.col("o_custkey").alias("k"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("m")).agg(F.count("*").alias("n"))
+    cells = t.orders.groupBy(F.col("o_custkey").alias("k"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("m")).agg(F.count("*").alias("n"))
     return timeline.dense_months(cells, "k", "m", "n", F.when(F.max("n") > 1, L("2001-12-01").cast("date")).otherwise(F.max("m")))
 
 

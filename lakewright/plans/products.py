@@ -78,9 +78,17 @@ def pass_matcher(t: Tables) -> DataFrame:
     return j.where("pass IS NOT NULL").withColumn("rn", F.row_number().over(best)).where("rn = 1").select("k", F.col("pass").cast("long"), F.col("priority").cast("long"), "name")
 
 
-@query()
+_SOURCE = "CASE k % 5 WHEN 0 THEN n || ', ' || f WHEN 1 THEN f || ' ' || n WHEN 2 THEN upper(f) || ' X ' || n WHEN 3 THEN replace(f, 'a', 'aa') || ' ' || n ELSE 'Beltrano ' || n END"
+
+
+@query(f"""WITH names AS (SELECT c_custkey AS k, {_sql_list(FIRST)}[c_custkey % 12 + 1] AS f, {_sql_list(LAST)}[c_custkey % 7 + 1] AS n FROM customer),
+src AS (SELECT CASE WHEN k % 2 = 0 THEN k ELSE k + 100000 END AS num, {_words_sql(_SOURCE)} AS p FROM names),
+pat AS (SELECT k, CASE WHEN k % 9 = 0 THEN 1 ELSE 0 END AS inactive, {_words_sql("f || ' ' || n")} AS e, {_words_sql(f"{_sql_list(FIRST)}[(k + 5) % 12 + 1] || ' ' || {_sql_list(LAST)}[(k + 3) % 7 + 1]")} AS m FROM names),
+links AS (SELECT *, k + 100000 AS link_id, 1 AS rank FROM pat UNION ALL SELECT *, k + 99997, 3 FROM pat WHERE k % 2 = 0),
+scored AS (SELECT num, k, inactive, rank + CASE WHEN p[-1] IN (e[-1], m[-1]) THEN 0 ELSE 2 END AS score FROM src JOIN links ON num = link_id WHERE p[1] IN (e[1], m[1]))
+SELECT num::VARCHAR AS source_id, k AS chart, score::BIGINT AS score FROM (SELECT *, row_number() OVER (PARTITION BY num ORDER BY inactive, score, k DESC) AS rn FROM scored) WHERE rn = 1""")
 def link_scored_match(t: Tables) -> DataFrame:
-    """The scored matcher over many link columns, active people first; its rules are checked in tests."""
+    """The scored matcher over many link columns, active people first."""
     source, patients = _er_frames(t)
     people = patients.select(F.col("codigo").alias("chart"), F.col("inativo").alias("inactive"), "esposa_nome", "marido_nome", "prontuario_esposa", "prontuario_marido")
     return er.link_scored_match(er.prepare_source(source, "id", "name"), people, ["prontuario_esposa", "prontuario_marido"], ["esposa_nome", "marido_nome"])

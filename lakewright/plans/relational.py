@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import mapped
-from ..operators.dedup import delete_orphans, update_from, upsert
+from ..operators.dedup import delete_orphans, null_aware_anti, update_from, upsert
 from ..operators.harmonise import add_missing, drop_sparse_rows, prefixed, starts_with_any, union_all, union_mapped
 from ..operators.reshape import unpivot_links
 from ..operators.waterfall import bridge_outer
@@ -43,10 +43,10 @@ def full_outer_summary(t: Tables) -> DataFrame:
     return o.join(e, "k", "full")
 
 
-@query("""WITH l AS (SELECT o_custkey AS lid, count(*) AS n_orders FROM orders WHERE o_custkey < 300 GROUP BY 1), r AS (SELECT user_id + 100 AS rid, count(*) AS n_events FROM events GROUP BY 1),
+@query("""WITH l AS (SELECT o_custkey AS lid, count(*) AS n_orders FROM orders GROUP BY 1), r AS (SELECT user_id + 100 AS rid, count(*) AS n_events FROM events GROUP BY 1),
 b AS (SELECT lid, lid AS rid FROM l WHERE lid % 2 = 0) SELECT l.lid, n_orders, r.rid, n_events FROM l LEFT JOIN b ON l.lid = b.lid FULL JOIN r ON b.rid = r.rid""")
 def bridge_full_outer(t: Tables) -> DataFrame:
-    left = t.orders.where("o_custkey < 300").groupBy(F.col("o_custkey").alias("lid")).agg(F.count("*").alias("n_orders"))
+    left = t.orders.groupBy(F.col("o_custkey").alias("lid")).agg(F.count("*").alias("n_orders"))
     right = t.events.groupBy((F.col("user_id") + 100).alias("rid")).agg(F.count("*").alias("n_events"))
     bridge = left.where("lid % 2 = 0").select("lid", F.col("lid").alias("rid"))
     return bridge_outer(left, bridge, right, "lid", "rid")
@@ -72,11 +72,11 @@ def or_band_join(t: Tables) -> DataFrame:
     return _ship(t).join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), (F.col("ck") == F.col("o_custkey")) & (days.between(-1, 1) | days.between(29, 31))).select("l_orderkey", "l_linenumber", "o_orderkey")
 
 
-@query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, 'l_partkey' AS role, p_name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 45
-UNION ALL SELECT l_orderkey, l_linenumber::BIGINT, 'l_suppkey', p_name FROM lineitem JOIN part ON l_suppkey = p_partkey WHERE l_quantity > 45""")
+@query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, 'l_partkey' AS role, p_name FROM lineitem JOIN part ON l_partkey = p_partkey
+UNION ALL SELECT l_orderkey, l_linenumber::BIGINT, 'l_suppkey', p_name FROM lineitem JOIN part ON l_suppkey = p_partkey""")
 def unpivot_link_join(t: Tables) -> DataFrame:
     """An id that may match either of two link columns, as one equi join over the unpivoted columns."""
-    links = unpivot_links(t.lineitem.where("l_quantity > 45"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    links = unpivot_links(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
     return links.join(t.part, F.col("link_id") == F.col("p_partkey")).select("l_orderkey", F.col("l_linenumber").cast("long"), "role", "p_name")
 
 
@@ -98,6 +98,13 @@ def anti_not_in(t: Tables) -> DataFrame:
     return t.customer.join(t.orders.where("o_orderstatus = 'F' AND o_custkey IS NOT NULL"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END FROM orders WHERE o_orderstatus = 'F')")
+def anti_not_in_null(t: Tables) -> DataFrame:
+    """NOT IN over a list that may hold a null: nothing is then known to be outside of it. One flag is broadcast, not the list."""
+    listed = t.orders.where("o_orderstatus = 'F'").select(F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")).alias("k"))
+    return null_aware_anti(t.customer, listed, "c_custkey", "k").select("c_custkey")
+
+
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def semi_in(t: Tables) -> DataFrame:
     return t.customer.join(t.orders.where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -28,6 +29,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir. Only a local session may do without one: elsewhere executors wouldn't see each other's files."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="lakewright-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def materialise(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write df once as Parquet in the shared folder and return a reader of it.
+
+    Cuts the lineage like checkpoint(): a lost executor re-reads the files
+    instead of recomputing them. An empty result keeps its schema.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 
