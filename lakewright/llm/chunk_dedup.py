@@ -3,7 +3,7 @@
 The gear hash of a position is a sum of per-byte random numbers, each shifted
 by its age, so it sees the last 32 bytes only. An anchor is a position whose
 hash is the least of some WINDOW neighbouring positions; it stands for the SEED
-bytes that end there, compared by 64-bit digest. WINDOW + SEED - 1 bytes that
+bytes that end there, compared by 128-bit digest. WINDOW + SEED - 1 bytes that
 two texts share hold the same anchor in both, whatever is around them, and seeds
 of neighbouring anchors overlap. A run of neighbouring duplicate seeds is then extended
 byte by byte, to both sides, to the last word's edge that equals the first occurrence; runs of
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import materialise
+from .runtime import join_groups, materialise
 
 RADIUS, MAX_CHUNK, MIN_SPAN = 24, 512, 120
 #: A passage of MIN_SPAN bytes has an anchor: WINDOW + SEED - 1 is MIN_SPAN; WINDOW < SEED, so seeds overlap. CONTEXT: bytes that a run can be extended by.
@@ -106,7 +106,7 @@ def anchors(data: bytes) -> np.ndarray:
 
 
 def seeds(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, doc_key, places (ends in bytes of UTF-8) and digests of the seeds of every row."""
+    """doc_id, doc_key, places (ends in bytes of UTF-8) and both halves of the digests of the seeds of every row."""
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,12 +118,13 @@ def seeds(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                 keys.append(text_key(doc_id, data))
                 sizes.append(len(ends))
                 places.append(ends)
-                digests.extend(xxhash.xxh3_64_intdigest(data[e - SEED : e]) for e in ends.tolist())
+                digests.extend(xxhash.xxh3_128_digest(data[e - SEED : e]) for e in ends.tolist())
             offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (np.concatenate(places).astype(np.int32), np.array(digests, np.uint64).view(np.int64))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), *lists], names=["doc_id", "doc_key", "places", "digests"])
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (np.concatenate(places).astype(np.int32), halves[:, 0].copy(), halves[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), *lists], names=["doc_id", "doc_key", "places", "digests", "checks"])
 
-    return source.mapInArrow(run, "doc_id long, doc_key long, places array<int>, digests array<long>")
+    return source.mapInArrow(run, "doc_id long, doc_key long, places array<int>, digests array<long>, checks array<long>")
 
 
 def _contexts(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -175,15 +176,15 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first occurrence. A first occurrence is extended as far as any of its copies.
     """
     made = materialise(seeds(df, id_col, text_col), "seeds")
-    each = made.select("doc_key", F.explode(F.arrays_zip("digests", "places")).alias("c")).select("doc_key", F.col("c.digests").alias("digest"), F.col("c.places").alias("place"))
+    each = made.select("doc_key", F.explode(F.arrays_zip("digests", "checks", "places")).alias("c")).select("doc_key", F.col("c.digests").alias("digest"), F.col("c.checks").alias("check"), F.col("c.places").alias("place"))
     # only digests are counted over all seeds; ids join the few that recur
-    often = each.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    often = materialise(each.groupBy("digest", "check").agg(F.count("*").alias("n")).where("n > 1"), "recurring")
     owners = made.groupBy("doc_key").agg(F.min("doc_id").alias("doc_id"))
-    found = materialise(each.join(often, "digest").distinct().join(owners, "doc_key"), "duplicates")
+    found = materialise(join_groups(each, often, ["digest", "check"], "n").drop("n").distinct().join(owners, "doc_key"), "duplicates")
     # the last place in the text of the first occurrence, too: in periodic text it is what a run goes on before
     last = F.max(F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.bitwise_not("doc_key"), "place"))["place"]
-    first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "doc_key", "place")).alias("first"), last.alias("last")).where("n > 1")
-    found = found.join(first, "digest").withColumn("kept", (F.col("doc_key") == F.col("first.doc_key")) & (F.col("place") == F.col("first.place")))
+    first = found.groupBy("digest", "check").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "doc_key", "place")).alias("first"), last.alias("last")).where("n > 1")
+    found = join_groups(found, materialise(first, "firsts"), ["digest", "check"], "n").withColumn("kept", (F.col("doc_key") == F.col("first.doc_key")) & (F.col("place") == F.col("first.place")))
     of_text = Window.partitionBy("doc_key").orderBy("place")
     new = (F.col("place") - F.lag("place").over(of_text) > SEED) | (F.lag("kept").over(of_text) != F.col("kept"))
     runs = found.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(of_text))

@@ -2,6 +2,10 @@
 
 Each round is a few grouped joins over the links (never on the driver) and is
 written to the shared folder, so lost executors recompute one round at most.
+A hub's links don't meet in one task: hubs are joined by broadcast, their number being bounded.
+
+Links that hold a null are ignored, as are links of a node with itself; repeated
+links count once; an empty table gives no components.
 """
 
 from __future__ import annotations
@@ -9,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import materialise
+from .runtime import join_groups, materialise
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    return join_groups(both.where("v > u"), least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 Each window of a document that is as long (in words) as a benchmark item gets a
 128-bit SimHash of its words; a multi-index of eight 16-bit blocks finds every
 item within RADIUS bits (two fingerprints that differ in at most 31 bits differ
-in at most 3 in one of the blocks, and every value within 3 bits of an item's
-block is indexed); candidates are then verified by the exact weighted Jaccard
+in at most 3 in one of the blocks, and every value within 3 bits of a window's
+block is looked up); candidates are then verified by the exact weighted Jaccard
 similarity of five-word shingles, each weighing as often as it occurs: sum of
 minima over sum of maxima, SIMILARITY or more.
 
@@ -23,15 +23,15 @@ text. Ties between windows go to the earliest. Empty tables give no rows.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import materialise, small_or_shuffled
 from .words import WordHashes, hash_words, mix, shingles, split_words
 
 BLOCK, RADIUS, BLOCK_RADIUS, SIMILARITY, WORDS = 20_000, 31, 3, 0.75, 5
@@ -49,6 +49,7 @@ def _fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).view(np.uint16)
 
 
+@lru_cache(maxsize=1)
 def _near_values() -> np.ndarray:
     """All 16-bit numbers with at most BLOCK_RADIUS bits set."""
     x = np.arange(1 << 16, dtype=np.uint16)
@@ -60,48 +61,62 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         memo = WordHashes()
-        self.ids, self.lengths, self.bags, prints, self.short = [], [], [], [], set()
-        known = []
+        self.ids, lengths, prints, known, counts, self.short = [], [], [], [], [], set()
         for item_id, text in items:
             h = hash_words(split_words(text), memo)
             if not len(h):
                 continue
-            s = shingles(h, WORDS)
+            bag, n = np.unique(shingles(h, WORDS), return_counts=True)
             self.ids.append(item_id)
-            self.lengths.append(len(h))
-            self.bags.append(Counter(s.tolist()))
+            lengths.append(len(h))
+            known.append(bag)
+            counts.append(n.astype(np.int32))
             prints.append(_fingerprints(_signs(h).sum(axis=0)[None, :])[0])
-            known.append(s)
             if len(h) < WORDS:
                 self.short.add(len(h))
+        self.lengths = np.array(lengths, np.int32)
         self.prints = np.array(prints, np.uint16).reshape(-1, 8)
-        self.known = np.unique(np.concatenate(known)) if known else np.empty(0, np.uint64)
+        # the items' shingles, sorted within each item, with how often they occur
+        self.ends = np.cumsum([0, *map(len, known)])
+        self.shingles = np.concatenate([*known, np.empty(0, np.uint64)])
+        self.counts = np.concatenate([*counts, np.empty(0, np.int32)])
+        self.known = np.unique(self.shingles)
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
         self.maybe[self.known >> np.uint64(64 - _FILTER_BITS)] = True
-        self.of_length: dict[int, np.ndarray] = {n: np.flatnonzero(np.array(self.lengths) == n) for n in sorted(set(self.lengths))}
-        # per block of the fingerprint: items sorted by every value within BLOCK_RADIUS of theirs
-        near = _near_values()
+        # per block of the fingerprint: items sorted by their value, and where each value starts
         self.tables = []
         for b in range(8):
-            values = (self.prints[:, b][:, None] ^ near[None, :]).ravel()
-            items_of = np.repeat(np.arange(len(self.ids)), len(near))
-            order = np.argsort(values, kind="stable")
-            starts = np.searchsorted(values[order], np.arange((1 << 16) + 1))
-            self.tables.append((starts, items_of[order].astype(np.int32)))
+            order = np.argsort(self.prints[:, b], kind="stable").astype(np.int32)
+            self.tables.append((np.searchsorted(self.prints[order, b], np.arange((1 << 16) + 1)).astype(np.int32), order))
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) pairs whose fingerprints differ in at most RADIUS bits: all of them."""
-        windows, items = [], []
-        for b, (starts, items_of) in enumerate(self.tables):
-            lo = starts[prints[:, b]]
-            n = starts[prints[:, b].astype(np.int64) + 1] - lo
-            w = np.repeat(np.arange(len(prints)), n)
-            windows.append(w)
-            items.append(items_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)])
-        pair = np.unique(np.concatenate(windows) * np.int64(len(self.ids)) + np.concatenate(items))
-        w, i = pair // len(self.ids), pair % len(self.ids)
-        ok = np.bitwise_count(prints[w] ^ self.prints[i]).sum(axis=1) <= RADIUS
-        return w[ok], i[ok]
+        """(window, item) pairs whose fingerprints differ in at most RADIUS bits: all of them.
+
+        Every value within BLOCK_RADIUS bits of a window's block is looked up.
+        """
+        pairs = [np.empty(0, np.int64)]
+        for at in range(0, len(prints), 512):
+            part = prints[at : at + 512]
+            for b, (starts, items_of) in enumerate(self.tables):
+                values = part[:, b][:, None] ^ _near_values()[None, :]
+                lo = starts[values].ravel().astype(np.int64)
+                n = starts[values.astype(np.int32) + 1].ravel() - lo
+                full = np.flatnonzero(n)
+                lo, n = lo[full], n[full]
+                window = np.repeat(full // values.shape[1] + at, n)
+                items = items_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+                ok = np.bitwise_count(prints[window] ^ self.prints[items]).sum(axis=1) <= RADIUS
+                pairs.append(window[ok] * np.int64(len(self.ids)) + items[ok])
+        pair = np.unique(np.concatenate(pairs))
+        return pair // max(1, len(self.ids)), pair % max(1, len(self.ids))
+
+    def similarity(self, window: np.ndarray, item: int) -> float:
+        """Weighted Jaccard similarity of a window's word hashes and an item."""
+        bag, n = np.unique(shingles(window, WORDS), return_counts=True)
+        own, m = self.shingles[self.ends[item] : self.ends[item + 1]], self.counts[self.ends[item] : self.ends[item + 1]]
+        place = np.minimum(np.searchsorted(own, bag), len(own) - 1)
+        both = int(np.minimum(n, m[place])[own[place] == bag].sum())
+        return both / (int(n.sum()) + int(m.sum()) - both)
 
     def hits(self, h: np.ndarray, size: int) -> np.ndarray:
         s = shingles(h, size)
@@ -119,7 +134,7 @@ class Index:
         at = np.unique(np.concatenate([self.hits(h, WORDS), *(self.hits(h, n) for n in self.short if n < len(h))]))
         if not at.size:
             return found
-        longest = max(self.lengths)
+        longest = int(self.lengths.max())
         # stretches of the document that windows with a hit can cover
         first, last = np.maximum(at - longest, 0), np.minimum(at + longest + WORDS, len(h))
         cut = np.flatnonzero(first[1:] > last[:-1])
@@ -137,7 +152,7 @@ class Index:
         known = np.zeros(hi - lo + 1, np.int32)
         known[own - lo + 1] = 1
         np.cumsum(known, out=known)
-        for n, of_length in self.of_length.items():
+        for n in np.unique(self.lengths).tolist():
             size = min(n, hi - lo)
             held, wanted = max(1, size - WORDS + 1), max(1, n - WORDS + 1)
             least = math.ceil(SIMILARITY / (1 + SIMILARITY) * (held + wanted) - 1e-9)
@@ -150,32 +165,34 @@ class Index:
                 sums = np.zeros((hi - lo + 1, 128), np.int32)
                 np.cumsum(_signs(h[lo:hi]), axis=0, out=sums[1:])
             windows, items = self.within(_fingerprints(sums[starts + size] - sums[starts]))
-            right = np.isin(items, of_length)
+            right = self.lengths[items] == n
             for w, i in zip(windows[right].tolist(), items[right].tolist(), strict=True):
                 start = lo + int(starts[w])
-                bag, item = Counter(shingles(h[start : start + size], WORDS).tolist()), self.bags[i]
-                both = sum((bag & item).values())
-                similarity = both / (bag.total() + item.total() - both)
+                similarity = self.similarity(h[start : start + size], i)
                 if similarity >= SIMILARITY and (i not in found or similarity > found[i][0]):
                     found[i] = (similarity, start, size)
 
 
 def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, similarity, start_word, n_words: the most similar window of every document and item that are similar enough."""
-    spark = df.sparkSession
     source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kinds = source.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    blocks = max(1, -(-items.count() // BLOCK))
     out = None
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in block]))
+    for shared in _indexes(items):
         part = source.mapInArrow(_matcher(shared, benchmark.select(item_col).schema), f"doc_id {kinds[0]}, item_id {kinds[1]}, similarity double, start_word long, n_words int")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _indexes(items: DataFrame) -> Iterator:
+    """A broadcast index for each block of items (item_id, text): the benchmark is the query set, a block has BLOCK items or so."""
+    blocks = max(1, -(-items.count() // BLOCK))
+    for k in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
+        yield items.sparkSession.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in block]))
+
+
 def _matcher(shared, item_schema):
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -199,8 +216,18 @@ def _matcher(shared, item_schema):
     return run
 
 
-def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of df that hold no benchmark item, with all columns of df."""
-    found = contamination(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("__gone")).distinct()
-    gone = small_or_shuffled(materialise(found, "contaminated"))
-    return df.join(gone, df[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of df that hold no benchmark item, with all columns of df; each row is judged by its own text, whatever its id."""
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    for shared in _indexes(items):
+        df = df.where(~_holds(shared)(F.col(text_col)))
+    return df
+
+
+def _holds(shared):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        memo = WordHashes()
+        return pd.Series([bool(shared.value.matches(hash_words(split_words(t), memo))) for t in texts], dtype=bool)
+
+    return holds

@@ -84,7 +84,7 @@ def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
-    read = warc.read_bundles(warc.write_bundles(table(spark, sf_dir, "pages")))
+    read = warc.verify(warc.read_bundles(warc.write_bundles(table(spark, sf_dir, "pages"))))
     return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

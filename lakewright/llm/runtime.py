@@ -1,43 +1,37 @@
-"""Shared plumbing: the folder all executors see, written intermediates, size-checked broadcasts."""
+"""Shared plumbing: size-checked broadcasts and joins on keys that may be hot; written intermediates are lakewright.session's."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialise, shared_dir
+
+__all__ = ["join_groups", "materialise", "shared_dir", "small_or_shuffled", "table"]
+
 #: Rows of two longs or so that a broadcast side may have (about 32 MB).
 BROADCAST_ROWS = 500_000
+#: Groups that may be called hot: one has at least this part of all rows, so there can't be more.
+HOT_GROUPS, HOT_ROWS = 10_000, 200
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where it is unset (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lakewright-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+def small_or_shuffled(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """side with a broadcast hint if it has at most `rows` rows, else as it is (a shuffled join)."""
+    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df once as Parquet in the shared folder and return a reader of it.
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Inner join of rows with the groups they are in; `size` counts a group's rows, all groups together those of the table or fewer.
 
-    Cuts the lineage like checkpoint(): a lost executor re-reads the files
-    instead of recomputing them. An empty result keeps its schema.
+    Rows of a hot group don't meet in one task: groups of at least a
+    HOT_GROUPS-th of all rows are HOT_GROUPS at most and are broadcast; only
+    the rest is shuffled.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_or_shuffled(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """side with a broadcast hint if it has at most `rows` rows, else as it is (a shuffled join)."""
-    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    least = max(HOT_ROWS, -(-total // HOT_GROUPS))
+    hot = F.broadcast(groups.where(F.col(size) >= least))
+    cold = rows.join(hot.select(*keys), keys, "left_anti").join(groups.where(F.col(size) < least), keys)
+    return rows.join(hot, keys).unionByName(cold)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,18 +1,24 @@
 """WARC records in seekable Zstandard bundles.
 
-A bundle is a run of independent zstd frames, each of a few records, followed by
-the seek table of the zstd seekable format in a skippable frame (frame sizes,
-frame count, descriptor, magic number). An index maps each record to its bundle,
-its frame, and its place within the frame's content, so one record is read by
-decompressing one frame. Any zstd reader can read a bundle as a plain WARC file.
+A bundle is a .warc.zst file: a run of independent zstd frames, each of a few
+records, followed by the seek table of the zstd seekable format in a skippable
+frame (frame sizes, frame count, descriptor, magic number). An index maps each
+record to its bundle, its frame, and its place within the frame's content, so
+one record is read by decompressing one frame. Any zstd reader can read a bundle
+as a plain WARC file.
+
+Tasks write the bundles into the shared folder (pyarrow's file systems: local,
+HDFS, S3, GCS), under names of their own attempt; the index, a table that Spark
+commits, says which of them count, so a task that is run again leaves files
+that nothing refers to. Bundles are read back by Spark's binaryFile reader,
+front to back, by their seek tables. A response's block is an HTTP head and the payload.
 
 Of records with equal payloads of at least REVISIT_BYTES bytes, the smallest id
 is the response; the others are revisits that carry the payload's digest and
-length and name the response. Smaller payloads are all responses.
+length and name the response. Smaller payloads are all responses. Reading checks a response's
+payload against its digest; verify() holds each revisit against the response it names.
 
-Bundles are rows (name, data) of a table that Spark writes to the shared folder,
-so they need no file system but Spark's and survive lost executors; export()
-gives them out as files. A null payload is empty. A null url is written as an
+A null payload is empty. A null url is written as an
 empty target. Rows that repeat the smallest
 id of their payload are responses each, as are rows with a null id. Very long
 payloads fill a frame of their own. Empty tables give no bundle.
@@ -22,16 +28,20 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import zstandard
+from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .runtime import materialise
+from .runtime import join_groups, materialise, shared_dir, small_or_shuffled
 
 REVISIT_BYTES = 100
 FRAME_BYTES, BUNDLE_BYTES = 128 << 10, 8 << 20
@@ -40,7 +50,9 @@ SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-BUNDLE = "name string, data binary, entries array<struct<record_id: long, record_type: string, payload_digest: string, frame: int, offset: long, length: long>>"
+HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
+
+BUNDLE = "name string, bytes long, entries array<struct<record_id: long, record_type: string, payload_digest: string, frame: int, offset: long, length: long>>"
 
 
 def plan_records(df: DataFrame, id_col: str, payload_col: str, url_col: str | None) -> DataFrame:
@@ -51,7 +63,8 @@ def plan_records(df: DataFrame, id_col: str, payload_col: str, url_col: str | No
     keys = materialise(rows.select("record_id", size.alias("payload_bytes"), digest.alias("payload_digest")), "warc-keys")
     first = keys.where(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest").agg(F.min("record_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
     # only groups of two or more have revisits; their rows are told from the rest by id and digest
-    same = keys.where(F.col("payload_bytes") >= REVISIT_BYTES).join(first, "payload_digest").select(F.col("record_id").alias("__id"), F.col("payload_digest").alias("__digest"), "first_id").distinct()
+    first = materialise(first, "warc-firsts")
+    same = join_groups(keys.where(F.col("payload_bytes") >= REVISIT_BYTES), first, ["payload_digest"], "n").select(F.col("record_id").alias("__id"), F.col("payload_digest").alias("__digest"), "first_id").distinct()
     sized = rows.withColumn("payload_bytes", size).withColumn("payload_digest", digest)
     joined = sized.join(same, sized["record_id"].eqNullSafe(same["__id"]) & (sized["payload_digest"] == same["__digest"]), "left").drop("__id", "__digest")
     revisit = F.col("first_id").isNotNull() & (F.col("record_id") != F.col("first_id"))
@@ -69,7 +82,7 @@ def uri(record_id: int | None, payload_digest: str) -> str:
 def record(row: dict) -> bytes:
     """One WARC/1.1 record; a revisit has no block."""
     revisit = row["record_type"] == "revisit"
-    block = b"" if revisit else row["payload"]
+    block = b"" if revisit else HTTP.format(len(row["payload"])).encode() + row["payload"]
     url = (row["url"] or "").replace("\r", "%0D").replace("\n", "%0A")
     head = [
         "WARC/1.1",
@@ -83,21 +96,22 @@ def record(row: dict) -> bytes:
     ]
     if revisit:
         head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <{uri(row['refers_to'], row['payload_digest'])}>", f"X-Refers-To-Source-ID: {row['refers_to']}"]
-    head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(block)}"]
+    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and block of one record."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """Headers and payload (without the HTTP head) of the record at a place, and the place behind it."""
+    head_end = data.index(b"\r\n\r\n", at)
+    lines = data[at:head_end].decode().split("\r\n")
     if lines[0] != "WARC/1.1":
         raise ValueError("not a WARC/1.1 record")
     fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-    block = rest[: int(fields["Content-Length"])]
-    if rest[len(block) :] != b"\r\n\r\n":
+    end = head_end + 4 + int(fields["Content-Length"])
+    if data[end : end + 4] != b"\r\n\r\n":
         raise ValueError("record doesn't end where its length says")
-    return fields, block
+    _, _, payload = data[head_end + 4 : end].partition(b"\r\n\r\n")
+    return fields, payload, end + 4
 
 
 class BundleWriter:
@@ -148,17 +162,52 @@ class BundleReader:
             self.last = (k, zstandard.ZstdDecompressor().decompress(packed, max_output_size=int(self.sizes[k, 1])))
         return self.last[1]
 
-    def read(self, frame: int, offset: int, length: int) -> tuple[dict[str, str], bytes]:
-        return parse(self.frame(frame)[offset : offset + length])
+    def read(self, frame: int, offset: int) -> tuple[dict[str, str], bytes]:
+        return parse(self.frame(frame), offset)[:2]
+
+    def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
+        """All records, frame by frame."""
+        for k in range(len(self.sizes)):
+            plain, at = self.frame(k), 0
+            while at < len(plain):
+                head, payload, at = parse(plain, at)
+                yield head, payload
+
+
+@dataclass(frozen=True)
+class Bundles:
+    """Written bundles: their folder, and the table of those that count (name, bytes, entries: the index of their records)."""
+
+    folder: str
+    table: DataFrame
 
+    def index(self) -> DataFrame:
+        """name, record_id, record_type, payload_digest, frame, offset, length: where each record is."""
+        return self.table.select("name", F.inline("entries"))
 
-def write_bundles(df: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url") -> DataFrame:
-    """The written bundles: name, data, entries (the index of their records)."""
+
+def _store(folder: str, name: str, data: bytes) -> None:
+    system, path = fs.FileSystem.from_uri(folder)
+    system.create_dir(path, recursive=True)
+    with system.open_output_stream(f"{path}/{name}", compression=None) as f:  # else a .zst name is compressed again
+        f.write(data)
+
+
+def write_bundles(df: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", folder: str | None = None) -> Bundles:
+    """Write .warc.zst files into a folder that driver and executors share (a new one in the shared folder, if none is given)."""
     planned = plan_records(df, id_col, payload_col, url_col)
+    folder = folder or f"{shared_dir(df.sparkSession)}/warc-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, k = TaskContext.get().partitionId(), 0
-        writer = BundleWriter(f"part-{part:06d}-{k:04d}.warc.zst")
+        # of this attempt alone: an attempt that is lost or run twice writes beside it
+        part, mine, k = TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
+
+        def closed(writer: BundleWriter) -> pd.DataFrame:
+            data = writer.close()
+            _store(folder, writer.name, data)
+            return pd.DataFrame({"name": [writer.name], "bytes": [len(data)], "entries": [writer.entries]})
+
+        writer = BundleWriter(f"part-{part:06d}-{mine}-{k:04d}.warc.zst")
         for batch in batches:
             for row in batch.to_dict("records"):
                 row = {c: None if v is None or v is pd.NA or v != v else v for c, v in row.items()}
@@ -166,50 +215,54 @@ def write_bundles(df: DataFrame, id_col: str = "page_id", payload_col: str = "ht
                     row[c] = None if row[c] is None else int(row[c])
                 writer.add(row)
                 if writer.size >= BUNDLE_BYTES:
-                    data = writer.close()
-                    yield pd.DataFrame({"name": [writer.name], "data": [data], "entries": [writer.entries]})
+                    yield closed(writer)
                     k += 1
-                    writer = BundleWriter(f"part-{part:06d}-{k:04d}.warc.zst")
+                    writer = BundleWriter(f"part-{part:06d}-{mine}-{k:04d}.warc.zst")
         if writer.entries:
-            data = writer.close()
-            yield pd.DataFrame({"name": [writer.name], "data": [data], "entries": [writer.entries]})
+            yield closed(writer)
+
+    return Bundles(folder, materialise(planned.mapInPandas(run, BUNDLE), "warc-index"))
 
-    return materialise(planned.mapInPandas(run, BUNDLE), "warc")
 
+_READ = "id string, payload_bytes long, payload_digest string, record_type string, refers string, payload binary"
 
-def read_bundles(bundles: DataFrame) -> DataFrame:
-    """Every record, read from its frame: record_id, payload_bytes, payload_digest, record_type, refers_to, payload (null for revisits)."""
+
+def read_bundles(bundles: Bundles) -> DataFrame:
+    """Every record of the bundles that count, read from its file: record_id, payload_bytes, payload_digest, record_type, refers_to, payload (null for revisits)."""
+    spark: SparkSession = bundles.table.sparkSession
+    names = small_or_shuffled(bundles.table.select("name"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["id", "payload_bytes", "payload_digest", "record_type", "refers", "payload"]
         for batch in batches:
-            for data, entries in zip(batch["data"], batch["entries"], strict=True):
-                reader, out = BundleReader(data), []
-                for e in entries:
-                    head, block = reader.read(e["frame"], e["offset"], e["length"])
+            for data in batch["content"]:
+                out = []
+                for head, payload in BundleReader(data).records():
                     kind, digest, size = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha256:"), int(head["X-Payload-Length"])
-                    if kind == "response" and (hashlib.sha256(block).hexdigest() != digest or len(block) != size):
+                    if kind == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != size):
                         raise ValueError(f"payload of {head['WARC-Record-ID']} isn't what its digest says")
-                    out.append((head["X-Source-ID"] or None, size, digest, kind, head.get("X-Refers-To-Source-ID"), block if kind == "response" else None))
+                    out.append((head["X-Source-ID"] or None, size, digest, kind, head.get("X-Refers-To-Source-ID"), payload if kind == "response" else None))
                     if len(out) >= 500:
-                        yield pd.DataFrame(out, columns=["id", "payload_bytes", "payload_digest", "record_type", "refers", "payload"])
+                        yield pd.DataFrame(out, columns=columns)
                         out = []
                 if out:
-                    yield pd.DataFrame(out, columns=["id", "payload_bytes", "payload_digest", "record_type", "refers", "payload"])
-
-    rows = bundles.select("data", "entries").mapInPandas(run, "id string, payload_bytes long, payload_digest string, record_type string, refers string, payload binary")
+                    yield pd.DataFrame(out, columns=columns)
+
+    if bundles.table.isEmpty():  # nothing was written, so there is no folder
+        rows = spark.createDataFrame([], T._parse_datatype_string(_READ))
+    else:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(bundles.folder)
+        files = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(names, "name", "left_semi")
+        rows = files.select("content").mapInPandas(run, _READ)
     return rows.select(F.col("id").cast("long").alias("record_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers").cast("long").alias("refers_to"), "payload")
 
 
-def index(bundles: DataFrame) -> DataFrame:
-    """name, record_id, record_type, payload_digest, frame, offset, length: where each record is."""
-    return bundles.select("name", F.inline("entries"))
-
-
-def export(bundles: DataFrame, folder: str) -> list[str]:
-    """Write the bundles as .warc.zst files into a folder of the driver; one bundle is in memory at a time."""
-    out = []
-    for row in bundles.select("name", "data").toLocalIterator():
-        with open(f"{folder}/{row['name']}", "wb") as f:
-            f.write(row["data"])
-        out.append(f"{folder}/{row['name']}")
-    return out
+def verify(read: DataFrame) -> DataFrame:
+    """What was read without its payloads, written; an error if a revisit's digest and length aren't those of the response it names."""
+    rows = materialise(read.drop("payload"), "warc-read")
+    facts = ["refers_to", "payload_bytes", "payload_digest"]
+    wanted = rows.where("record_type = 'revisit'").select(*facts).distinct()
+    lost = wanted.join(rows.where("record_type = 'response'").withColumn("refers_to", F.col("record_id")).select(*facts), facts, "left_anti")
+    if not lost.isEmpty():
+        raise ValueError(f"a revisit isn't what its response is: {lost.first()}")
+    return rows

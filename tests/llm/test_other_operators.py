@@ -1,11 +1,13 @@
 """Toxicity, URL filter, licences, WARC, components, the pipeline and the registered queries."""
 
 import hashlib
+import io
 import math
 import random
 import re
 import textwrap
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -406,17 +408,33 @@ def test_warc_round_trip(spark, tmp_path):
         revisit = h in firsts and i is not None and i != firsts[h]
         want[i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", firsts[h] if revisit else None, None if revisit else data] += 1
     assert Counter((r.record_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in rows) == want
-    # by the index, one frame at a time; and as a plain zstd stream
-    data = {b["name"]: bytes(b["data"]) for b in bundles.collect()}
-    for e in warc.index(bundles).collect():
-        head, block = warc.BundleReader(data[e["name"]]).read(e["frame"], e["offset"], e["length"])
+    assert warc.verify(warc.read_bundles(bundles)).count() == len(PAGES)
+    # the files, by the index, one frame at a time; and as a plain zstd stream
+    folder = Path(bundles.folder.removeprefix("file://"))
+    data = {f.name: f.read_bytes() for f in folder.iterdir() if f.name.endswith(".warc.zst")}
+    assert set(data) == {b.name for b in bundles.table.collect()}
+    for e in bundles.index().collect():
+        head, _ = warc.BundleReader(data[e["name"]]).read(e["frame"], e["offset"])
         assert head["WARC-Payload-Digest"] == f"sha256:{e.payload_digest}"
         assert head["WARC-Type"] == e.record_type
         assert "X-Bad" not in head
-    for path in warc.export(bundles, str(tmp_path)):
-        whole = zstandard.ZstdDecompressor().stream_reader(open(path, "rb"), read_across_frames=True).read()
+    for content in data.values():
+        whole = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content), read_across_frames=True).read()
         assert whole.startswith(b"WARC/1.1\r\n")
-    assert warc.write_bundles(df.limit(0)).count() == 0
+        assert b"HTTP/1.1 200 OK\r\n" in whole
+    nothing = warc.write_bundles(df.limit(0))
+    assert nothing.table.count() == 0
+    assert warc.verify(warc.read_bundles(nothing)).count() == 0
+
+
+def test_warc_files_of_lost_attempts_and_false_revisits(spark, tmp_path):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    bundles = warc.write_bundles(df, folder=f"file://{tmp_path}/bundles")
+    (tmp_path / "bundles" / "part-000000-lost-0000.warc.zst").write_bytes(b"half a file")
+    rows = warc.read_bundles(bundles)
+    assert rows.count() == len(PAGES)
+    with pytest.raises(ValueError, match="isn't what its response is"):
+        warc.verify(rows.where("record_id <> 1"))
 
 
 def test_components(spark):
