@@ -14,11 +14,12 @@ the chunk's word hashes and its tokens as places among them. Words go to shards
 come back with their counts; pairs go to cells of a grid (context hash by
 successor hash, so a frequent context is spread over a row of cells) as
 per-chunk distinct pairs. A cell adds up its pairs, builds a trie (monotone
-pointers, context-relative successor fingerprints, quantised joint
+pointers and context-relative successors, both Elias-Fano, quantised joint
 probabilities), maps it into memory and answers each chunk's pairs by
-successor search. Each chunk then scores its documents. A word or pair has one
-entry a chunk at most, however frequent it is; shards and cells grow in number
-with the corpus; no vocabulary, count table or document is collected.
+successor search. Words' counts and pairs' probabilities meet in the chunk,
+where the model interpolates them. Each chunk then scores its documents. A word or pair has one
+entry a chunk at most, however frequent it is, and a chunk as many rows as it has pairs at most; shards and cells grow in number
+with the corpus, without a limit; no vocabulary, count table or document is collected.
 
 Null and empty texts are the end token alone. A very long text is a chunk of
 its own size. Rows that repeat an id are learnt and scored each. Null ids are
@@ -49,7 +50,8 @@ from .words import split_words
 CHUNK_TOKENS, CELL_CHARS, UNIGRAM = 800_000, 14_000_000, 0.7
 END = b"\n"
 FOLDS, HELD = 5, 1
-_HASH_BITS = 16
+#: Bits of a word's hash that the grid may use: more cells than any corpus needs.
+_HASH_BITS = 32
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -98,7 +100,7 @@ def _chunks(df: DataFrame) -> DataFrame:
         place[order] = np.arange(len(order), dtype=np.uint32)
         held = [held_out(i) for i in ids]
         row = {
-            "chunk": number, "hashes": hashes[order].tobytes(), "tops": _pack((hashes[order] >> np.uint64(64 - _HASH_BITS)).astype(np.uint16)), "tokens": _pack(place[tokens]), "end": int(place[end]),
+            "chunk": number, "hashes": hashes[order].tobytes(), "tops": _pack((hashes[order] >> np.uint64(64 - _HASH_BITS)).astype(np.uint32)), "tokens": _pack(place[tokens]), "end": int(place[end]),
             "ids": ids, "held": held, "sizes": sizes, "train_tokens": sum(n for n, h in zip(sizes, held, strict=True) if not h),
         }
         return pa.RecordBatch.from_pylist([row], _schema(_CHUNK))
@@ -142,8 +144,8 @@ def _train_mask(row: dict) -> np.ndarray:
     return np.repeat(~np.array(row["held"], bool), row["sizes"])
 
 
-_WORDS = "chunk long, shard int, words binary, counts binary"
-_CELLS = "chunk long, cell int, contexts binary, runs binary, successors binary, counts binary"
+_WORDS = "chunk long, shard long, words binary, counts binary"
+_CELLS = "chunk long, cell long, contexts binary, runs binary, successors binary, counts binary"
 
 
 def _word_rows(bits: int):
@@ -152,9 +154,8 @@ def _word_rows(bits: int):
             for row in batch.to_pylist():
                 hashes, tokens = np.frombuffer(row["hashes"], np.uint64), _unpack(row["tokens"], "<u4")
                 counts = np.bincount(tokens[_train_mask(row)], minlength=len(hashes)).astype(np.uint32)
-                shard = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-                ends = np.searchsorted(shard, np.arange((1 << bits) + 1))
-                rows = [{"chunk": row["chunk"], "shard": s, "words": hashes[a:b].tobytes(), "counts": _pack(counts[a:b])} for s, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b]
+                shard, begin = np.unique((hashes >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
+                rows = [{"chunk": row["chunk"], "shard": s, "words": hashes[a:b].tobytes(), "counts": _pack(counts[a:b])} for s, a, b in zip(shard.tolist(), begin.tolist(), [*begin[1:].tolist(), len(hashes)], strict=True)]
                 yield pa.RecordBatch.from_pylist(rows, _schema(_WORDS))
 
     return run
@@ -165,11 +166,12 @@ def _pair_rows(bits: int):
         for batch in batches:
             for row in batch.to_pylist():
                 hashes, tokens = np.frombuffer(row["hashes"], np.uint64), _unpack(row["tokens"], "<u4")
-                pairs = _Pairs(tokens, row["end"], _unpack(row["tops"], "<u2"), bits)
+                pairs = _Pairs(tokens, row["end"], _unpack(row["tops"], "<u4"), bits)
                 counts = np.bincount(pairs.of_token[_train_mask(row)], minlength=len(pairs.v)).astype(np.uint32)
-                ends = np.searchsorted(pairs.cell, np.arange((1 << 2 * bits) + 1))
+                # cells that the chunk has pairs in: as many rows as there are pairs at most, however many cells there are
+                cells, begin = np.unique(pairs.cell, return_index=True)
                 rows = []
-                for c, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                for c, a, b in zip(cells.tolist(), begin.tolist(), [*begin[1:].tolist(), len(pairs.cell)], strict=True):
                     if a < b:
                         v = pairs.v[a:b]
                         first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
@@ -230,7 +232,7 @@ def _score_chunk(n_tokens: int, distinct: int, once: int, twice: int, bits: int)
     def run(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
         size, ids = np.asarray(row["sizes"], np.int64), list(row["ids"])
-        tokens, tops = _unpack(row["tokens"], "<u4"), _unpack(row["tops"], "<u2")
+        tokens, tops = _unpack(row["tokens"], "<u4"), _unpack(row["tops"], "<u4")
         ordered = answers.sort_values("part")
         totals = np.concatenate([_unpack(a, "<i8") for a in ordered["answer"][~ordered["is_pair"]]])
         codes = np.concatenate([_unpack(a, "<u2") for a in ordered["answer"][ordered["is_pair"]]])
@@ -255,13 +257,13 @@ def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
     # a grid of 2^bits by 2^bits cells, and as many shards of words
-    bits = min(_HASH_BITS // 2, max(1, math.ceil(math.log2(max(1, chars / CELL_CHARS)) / 2)))
+    bits = max(1, math.ceil(math.log2(max(1, chars / CELL_CHARS)) / 2))
     made = materialise(_chunks(source), "lm-chunks")
     n_tokens = made.agg(F.sum("train_tokens")).first()[0] or 0
-    words = made.select("chunk", "hashes", "tokens", "held", "sizes").mapInArrow(_word_rows(2 * bits), _WORDS).groupBy("shard").applyInPandas(_add_up, "chunk long, part int, answer binary, distinct long, once long, twice long")
+    words = made.select("chunk", "hashes", "tokens", "held", "sizes").mapInArrow(_word_rows(2 * bits), _WORDS).groupBy("shard").applyInPandas(_add_up, "chunk long, part long, answer binary, distinct long, once long, twice long")
     words = materialise(words, "lm-words")
     distinct, once, twice = (x or 0 for x in words.agg(F.sum("distinct"), F.sum("once"), F.sum("twice")).first())
-    cells = made.select("chunk", "hashes", "tops", "tokens", "end", "held", "sizes").mapInArrow(_pair_rows(bits), _CELLS).groupBy("cell").applyInPandas(_answer(n_tokens), "chunk long, part int, answer binary")
+    cells = made.select("chunk", "hashes", "tops", "tokens", "end", "held", "sizes").mapInArrow(_pair_rows(bits), _CELLS).groupBy("cell").applyInPandas(_answer(n_tokens), "chunk long, part long, answer binary")
     cells = materialise(cells, "lm-pairs")
     answers = words.select("chunk", "part", "answer", F.lit(False).alias("is_pair")).unionByName(cells.withColumn("is_pair", F.lit(True)))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
