@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import join_groups, materialise
+from .runtime import hot_and_cold, materialise
 
 RADIUS, MAX_CHUNK, MIN_SPAN = 24, 512, 120
 #: A passage of MIN_SPAN bytes has an anchor: WINDOW + SEED - 1 is MIN_SPAN; WINDOW < SEED, so seeds overlap. CONTEXT: bytes that a run can be extended by.
@@ -77,7 +77,9 @@ def boundaries(data: bytes) -> np.ndarray:
 
 def text_key(doc_id: int | None, data: bytes) -> int:
     """Identity of a row: its id and its text, as a signed 64-bit number."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(data, seed=(doc_id or 0) & 0xFFFFFFFFFFFFFFFF)).astype(np.int64))
+    if doc_id is None:  # a row of its own beside one of id 0
+        data, doc_id = data + b"\0null", 0
+    return int(np.uint64(xxhash.xxh3_64_intdigest(data, seed=doc_id & 0xFFFFFFFFFFFFFFFF)).astype(np.int64))
 
 
 def anchors(data: bytes) -> np.ndarray:
@@ -176,15 +178,21 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first occurrence. A first occurrence is extended as far as any of its copies.
     """
     made = materialise(seeds(df, id_col, text_col), "seeds")
-    each = made.select("doc_key", F.explode(F.arrays_zip("digests", "checks", "places")).alias("c")).select("doc_key", F.col("c.digests").alias("digest"), F.col("c.checks").alias("check"), F.col("c.places").alias("place"))
-    # only digests are counted over all seeds; ids join the few that recur
-    often = materialise(each.groupBy("digest", "check").agg(F.count("*").alias("n")).where("n > 1"), "recurring")
-    owners = made.groupBy("doc_key").agg(F.min("doc_id").alias("doc_id"))
-    found = materialise(join_groups(each, often, ["digest", "check"], "n").drop("n").distinct().join(owners, "doc_key"), "duplicates")
+    each = made.select("doc_id", "doc_key", F.explode(F.arrays_zip("digests", "checks", "places")).alias("c"))
+    each = each.select("doc_id", "doc_key", F.col("c.digests").alias("digest"), F.col("c.checks").alias("check"), F.col("c.places").alias("place"))
+    # only digests are counted over all seeds
+    keys = ["digest", "check"]
+    often = materialise(each.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), "recurring")
+    hot, cold = (part.drop("n").distinct() for part in hot_and_cold(each, often, keys, "n"))
     # the last place in the text of the first occurrence, too: in periodic text it is what a run goes on before
-    last = F.max(F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.bitwise_not("doc_key"), "place"))["place"]
-    first = found.groupBy("digest", "check").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "doc_key", "place")).alias("first"), last.alias("last")).where("n > 1")
-    found = join_groups(found, materialise(first, "firsts"), ["digest", "check"], "n").withColumn("kept", (F.col("doc_key") == F.col("first.doc_key")) & (F.col("place") == F.col("first.place")))
+    last = F.max(F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.bitwise_not("doc_key"), "place"))
+    facts = {"n": F.count("*"), "first": F.min(F.struct("doc_id", "doc_key", "place")), "last": last}
+    of_digest = Window.partitionBy(*keys)  # as the join has left the cold rows: no further shuffle
+    cold = cold.withColumns({name: f.over(of_digest) for name, f in facts.items()})
+    hot = hot.join(F.broadcast(hot.groupBy(*keys).agg(*[f.alias(name) for name, f in facts.items()])), keys)  # as few groups as hot_and_cold allows
+    found = cold.unionByName(hot).where("n > 1").withColumn("last", F.col("last.place"))
+    found = found.withColumn("kept", (F.col("doc_key") == F.col("first.doc_key")) & (F.col("place") == F.col("first.place")))
+    found = materialise(found.select("doc_id", "doc_key", "place", "first", "last", "kept"), "duplicates")
     of_text = Window.partitionBy("doc_key").orderBy("place")
     new = (F.col("place") - F.lag("place").over(of_text) > SEED) | (F.lag("kept").over(of_text) != F.col("kept"))
     runs = found.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(of_text))
