@@ -66,11 +66,13 @@ def time_chunks(first: date, last: date, days: int = 30) -> list[tuple[date, dat
 
 
 def bisect_ranges(first: int, last: int, count: Callable[[int, int], int], limit: int) -> list[tuple[int, int]]:
-    """[a, b] ranges of whole units (days, seconds) that hold at most `limit` rows by count(a, b); a single unit isn't split."""
+    """[a, b] ranges of whole units (days, seconds) that hold at most `limit` rows by count(a, b). A single unit above the limit can't be split: an error, as a part of it would be missed."""
     todo, out = [(first, last)], []
     while todo:
         a, b = todo.pop()
-        if a < b and count(a, b) > limit:
+        if (n := count(a, b)) > limit:
+            if a == b:
+                raise ValueError(f"{n} rows in the one unit {a}, more than the {limit} that the service gives; use finer units")
             mid = (a + b) // 2
             todo += [(mid + 1, b), (a, mid)]
         else:

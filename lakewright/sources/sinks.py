@@ -41,8 +41,10 @@ def excel(df: DataFrame, path: str, most: int = 1_000_000) -> None:
 
 
 def markdown(df: DataFrame, title: str, most: int = 500) -> str:
-    """A small result as a Markdown table, personal data scrubbed."""
-    rows = df.select(*[scrub_pii(F.col(c).cast("string")).alias(c) for c in df.columns]).limit(most).collect()
+    """A small result as a Markdown table, personal data scrubbed. More rows than `most` are an error."""
+    rows = df.select(*[scrub_pii(F.col(c).cast("string")).alias(c) for c in df.columns]).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows are no report; aggregate them or use european_csv")
     head = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join(head + ["| " + " | ".join("" if v is None else v.replace("|", "\\|") for v in r) + " |" for r in rows]) + "\n"
 

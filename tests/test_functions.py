@@ -120,6 +120,8 @@ def test_cdc_is_idempotent_and_evolves(spark):
 def test_planning_helpers():
     assert cdc.time_chunks(date(2024, 1, 1), date(2024, 3, 1), 30) == [(date(2024, 1, 1), date(2024, 1, 30)), (date(2024, 1, 31), date(2024, 2, 29)), (date(2024, 3, 1), date(2024, 3, 1))]
     ranges = cdc.bisect_ranges(0, 99, lambda a, b: b - a + 1, 10)
+    with pytest.raises(ValueError, match="finer units"):
+        cdc.bisect_ranges(0, 9, lambda a, b: 11, 10)
     assert [x for a, b in ranges for x in range(a, b + 1)] == list(range(100))
     assert all(b - a < 10 for a, b in ranges)
     left = [3, 2, 0]

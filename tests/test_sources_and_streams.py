@@ -88,6 +88,8 @@ def test_tables_and_sinks(spark, tmp_path):
     sinks.european_csv(df.coalesce(1), str(tmp_path / "out"))
     raw = next((tmp_path / "out").glob("part-*")).read_text(encoding="utf-8")
     assert raw.splitlines()[:2] == ['"﻿s";"v";"n"', '"a;b";"1234,50";"1"']
+    with pytest.raises(ValueError, match="no report"):
+        sinks.markdown(spark.range(501), "Report")
     assert "[EMAIL_REDACTED]" in sinks.markdown(spark.createDataFrame([("x@y.com",)], "mail string"), "Report")
     assert sinks.save_state(str(tmp_path / "s.json"), {"t": 3}) == {}
     assert sinks.save_state(str(tmp_path / "s.json"), {"t": 5}) == {"t": 3}
