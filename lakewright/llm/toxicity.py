@@ -263,21 +263,27 @@ def _kernel(windows: list[str], landmarks: np.ndarray) -> np.ndarray:
     """Kernel of windows with landmarks given as subsequence weights (64^3 x L)."""
     out = np.zeros((len(windows), landmarks.shape[1]), np.float32)
     for places, code, weight in subsequences(windows):
-        for lo in range(0, len(places), 256):
-            out[places[lo : lo + 256]] = np.einsum("bm,bml->bl", weight[lo : lo + 256], landmarks[code[lo : lo + 256]])
+        for lo in range(0, len(places), 64):
+            out[places[lo : lo + 64]] = np.einsum("bm,bml->bl", weight[lo : lo + 64], landmarks[code[lo : lo + 64]])
     return out
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, wanted: np.ndarray, cost: float = COST) -> tuple[np.ndarray, float]:
     """Primal squared-hinge SVM by Newton steps on the active set; each example has its wanted margin."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.eye(x1.shape[1])
+    n = x.shape[1] + 1
+    ridge = np.eye(n)
     ridge[-1, -1] = 1e-6
-    w = np.zeros(x1.shape[1])
+    w = np.zeros(n)
     for _ in range(30):
-        active = y * (x1 @ w) < wanted
-        xa, ca, target = x1[active], cost * weight[active], (y * wanted)[active]
-        new = np.linalg.solve(ridge + (xa * ca[:, None]).T @ xa, (xa * ca[:, None]).T @ target)
+        left, right = ridge.copy(), np.zeros(n)
+        for lo in range(0, len(x), 2048):  # doubles of one block at a time
+            part = slice(lo, lo + 2048)
+            active = y[part] * (x[part] @ w[:-1] + w[-1]) < wanted[part]
+            xa = np.column_stack([x[part][active].astype(np.float64), np.ones(active.sum())])
+            weighed = xa * (cost * weight[part][active])[:, None]
+            left += weighed.T @ xa
+            right += weighed.T @ (y * wanted)[part][active]
+        new = np.linalg.solve(left, right)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -309,7 +315,7 @@ def _machine(positive: list[str], negative: list[str], often: dict[str, int], ba
     weight = np.clip(counts, 1 / 8, OFTEN) * np.where(y > 0, balance, 1.0)
     # what is in many toxic documents has to be clearer than what is in a few
     wanted = 1 + np.where(y > 0, np.log10(np.clip(counts, 1, OFTEN)), 0)
-    w, bias = _svm(_kernel(windows, table).astype(np.float64) @ whiten, y, weight, wanted)
+    w, bias = _svm(_kernel(windows, table) @ whiten.astype(np.float32), y, weight, wanted)
     weights = np.zeros(64**3, np.float32)
     weights[sorted(codes - {0})] = (z[1:] @ (whiten @ w)).astype(np.float32)
     return weights, bias
@@ -363,8 +369,8 @@ def _one_of_each(bags: list[set[str]]) -> list[int]:
     return out
 
 
-def _significant(toxic: Counter, clean: Counter, n1: int, n0: int, false: float = 0.05) -> list[str]:
-    """Windows that occur in toxic documents more often than chance allows, and at least ten times as often; a share of `false` may be chance (Benjamini and Hochberg, on Chernoff's bound)."""
+def _significant(toxic: Counter, clean: Counter, n1: int, n0: int, false: float = 0.05, tried: int | None = None) -> list[str]:
+    """Windows, of the `tried` ones that were looked at, that occur in toxic documents more often than chance allows, and at least ten times as often; a share of `false` may be chance (Benjamini and Hochberg, on Chernoff's bound)."""
     q, found = np.log(n1 / (n1 + n0)), []
     r = np.log(n0 / (n1 + n0))
     for w, n in toxic.items():
@@ -372,7 +378,7 @@ def _significant(toxic: Counter, clean: Counter, n1: int, n0: int, false: float
         if n > 10 * c:
             found.append((-n * (np.log(n / (n + c)) - q) - (c and c * (np.log(c / (n + c)) - r)), w))
     found.sort()
-    last = max((k for k, (log_p, _) in enumerate(found, 1) if log_p <= np.log(k / len(toxic) * false)), default=0)
+    last = max((k for k, (log_p, _) in enumerate(found, 1) if log_p <= np.log(k / (tried or len(toxic)) * false)), default=0)
     return sorted((w for _, w in found[:last]), key=lambda w: (-toxic[w], w))
 
 
@@ -383,24 +389,35 @@ def _pairs(lower: str) -> set[str]:
     return {f"\x01{a} {b}\x01" for a, b in zip(words[:-1], words[1:], strict=True) if a and b and len(a) + len(b) + 3 <= WINDOW}
 
 
+def _frequent_pairs(documents: list[_Document], least: int) -> tuple[set[str], int]:
+    """Pairs of words in at least so many documents, and the number of all pairs; counted by hash, as most occur once."""
+    hashes = [np.fromiter((xxhash.xxh3_64_intdigest(p) for p in _pairs(d.lower)), np.uint64) for d in documents]
+    values, counts = np.unique(np.concatenate(hashes), return_counts=True)
+    often = set(values[counts >= least].tolist())
+    return {p for d in documents for p in _pairs(d.lower) if xxhash.xxh3_64_intdigest(p) in often}, len(values)
+
+
 @dataclass(frozen=True)
 class _Document:
-    """A labelled document: its text, words (between edges, sliced) and pairs of neighbouring words."""
+    """A labelled document: its text and words (between edges, sliced). Its pairs of neighbouring words are made again where they are needed."""
 
     lower: str
     toxic: bool
     words: set[str]
-    pairs: set[str]
 
 
 def train(texts: list[str | None], labels: list[int], seed: int = 5) -> Model:
     """The model of labelled texts. All of them train the machine; its calibration is of the margins that machines trained on the other FOLDS - 1 parts give each part."""
     rng = np.random.default_rng(seed)
-    documents = []
+    documents, of_word, known = [], {}, {}  # one string for a word of many documents
     for i in rng.permutation(len(texts)):
         lower = (texts[i] or "").lower()
-        words = {v for w in words_of(lower) if (core := _strip(w)) for v in slices(core)}
-        documents.append(_Document(lower, bool(labels[i]), words, _pairs(lower)))
+        words = words_of(lower)
+        for w in words - of_word.keys():
+            of_word[w] = slices(core) if (core := _strip(w)) else []
+        words = {v for w in words for v in of_word[w]}
+        documents.append(_Document(lower, bool(labels[i]), {known.setdefault(v, v) for v in words}))
+    del of_word, known
     documents = [documents[i] for i in _one_of_each([d.words for d in documents])]
     model = _learn(documents, rng)
     if model is None:
@@ -427,10 +444,9 @@ def _learn(documents: list[_Document], rng: np.random.Generator) -> Model | None
     positive = _significant(in_toxic, in_clean, len(toxic), len(clean))
     known = set(positive)
     # insults of two words that are harmless alone
-    pairs_toxic = Counter(p for d in toxic for p in d.pairs)
-    often = {p for p, n in pairs_toxic.items() if n >= 3}
-    pairs_clean = Counter(p for d in clean for p in d.pairs & often)
-    two = [p for p in _significant(pairs_toxic, pairs_clean, len(toxic), len(clean)) if p in often and not any(f"\x01{w}\x01" in known for w in p.strip("\x01").split(" "))]
+    often, n_pairs = _frequent_pairs(toxic, 3)
+    pairs_toxic, pairs_clean = (Counter(p for d in part for p in _pairs(d.lower) & often) for part in (toxic, clean))
+    two = [p for p in _significant(pairs_toxic, pairs_clean, len(toxic), len(clean), 0.05, n_pairs) if not any(f"\x01{w}\x01" in known for w in p.strip("\x01").split(" "))]
     two = two[: LANDMARKS // 4]
     rest = [d.words for d in toxic if known.isdisjoint(d.words)]
     positive += _explaining(rest, in_clean, 3) or ([] if positive or two else _explaining(rest, in_clean, 1))
@@ -438,7 +454,7 @@ def _learn(documents: list[_Document], rng: np.random.Generator) -> Model | None
     if not positive:
         return None
     harmless = sorted(w for w, n in in_clean.items() if n >= in_toxic[w])
-    ordinary = sorted({p for i in rng.permutation(len(clean))[: NEGATIVES // 20] for p in clean[i].pairs} - set(two))
+    ordinary = sorted({p for i in rng.permutation(len(clean))[: NEGATIVES // 20] for p in _pairs(clean[i].lower)} - set(two))
     negative = [harmless[i] for i in rng.permutation(len(harmless))[:NEGATIVES]]
     negative += [ordinary[i] for i in rng.permutation(len(ordinary))[: NEGATIVES // 4]]
     counts = {**in_toxic, **{p: pairs_toxic[p] for p in two}, **dict.fromkeys(ordinary, 1), **{w: in_clean[w] for w in harmless}}
