@@ -3,8 +3,9 @@
 Each window of a document that is as long (in words) as a benchmark item gets a
 128-bit SimHash of its words; a multi-index of eight 16-bit blocks finds every
 item within RADIUS bits (two fingerprints that differ in at most 31 bits differ
-in at most 3 in one of the blocks, and every value within 3 bits of a window's
-block is looked up); candidates are then verified by the exact weighted Jaccard
+in at most 3 in one of the blocks; an item is listed under every value within
+one bit of its block, and every value within two bits of a window's block is
+looked up); candidates are then verified by the exact weighted Jaccard
 similarity of five-word shingles, each weighing as often as it occurs: sum of
 minima over sum of maxima, SIMILARITY or more.
 
@@ -34,7 +35,9 @@ from pyspark.sql import functions as F
 
 from .words import WordHashes, hash_words, mix, shingles, split_words
 
-BLOCK, RADIUS, BLOCK_RADIUS, SIMILARITY, WORDS = 20_000, 31, 3, 0.75, 5
+BLOCK, RADIUS, SIMILARITY, WORDS = 20_000, 31, 0.75, 5
+#: Bits by which a value that is looked up may differ from a window's block, and an item's from a value that it is listed under; both together are 31 // 8.
+LOOKED_UP, LISTED = 2, 1
 _FILTER_BITS = 22
 
 
@@ -49,11 +52,11 @@ def _fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).view(np.uint16)
 
 
-@lru_cache(maxsize=1)
-def _near_values() -> np.ndarray:
-    """All 16-bit numbers with at most BLOCK_RADIUS bits set."""
+@lru_cache(maxsize=2)
+def _near_values(radius: int) -> np.ndarray:
+    """All 16-bit numbers with at most `radius` bits set."""
     x = np.arange(1 << 16, dtype=np.uint16)
-    return x[np.bitwise_count(x) <= BLOCK_RADIUS]
+    return x[np.bitwise_count(x) <= radius]
 
 
 class Index:
@@ -83,28 +86,35 @@ class Index:
         self.known = np.unique(self.shingles)
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
         self.maybe[self.known >> np.uint64(64 - _FILTER_BITS)] = True
-        # per block of the fingerprint: items sorted by their value, and where each value starts
+        # per block of the fingerprint: items in order of the values they are listed under, the bit changed for that, and where each value starts
         self.tables = []
         for b in range(8):
-            order = np.argsort(self.prints[:, b], kind="stable").astype(np.int32)
-            self.tables.append((np.searchsorted(self.prints[order, b], np.arange((1 << 16) + 1)).astype(np.int32), order))
+            values = (self.prints[:, b][:, None] ^ _near_values(LISTED)[None, :]).ravel()
+            order = np.argsort(values, kind="stable")
+            starts = np.searchsorted(values[order], np.arange((1 << 16) + 1)).astype(np.int32)
+            items, changed = order // len(_near_values(LISTED)), _near_values(LISTED)[order % len(_near_values(LISTED))]
+            self.tables.append((starts, starts[1:] > starts[:-1], items.astype(np.int32), changed))
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs whose fingerprints differ in at most RADIUS bits: all of them.
 
-        Every value within BLOCK_RADIUS bits of a window's block is looked up.
+        Every value within LOOKED_UP bits of a window's block is looked up. Of
+        the ways to split three bits the one that lists by the lowest is taken.
         """
         pairs = [np.empty(0, np.int64)]
+        near = _near_values(LOOKED_UP)
+        lowest, whole = near & (~near + np.uint16(1)), np.bitwise_count(near) == LOOKED_UP
         for at in range(0, len(prints), 512):
             part = prints[at : at + 512]
-            for b, (starts, items_of) in enumerate(self.tables):
-                values = part[:, b][:, None] ^ _near_values()[None, :]
-                lo = starts[values].ravel().astype(np.int64)
-                n = starts[values.astype(np.int32) + 1].ravel() - lo
-                full = np.flatnonzero(n)
-                lo, n = lo[full], n[full]
-                window = np.repeat(full // values.shape[1] + at, n)
-                items = items_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+            for b, (starts, listed, items_of, changed) in enumerate(self.tables):
+                values = (part[:, b][:, None] ^ near[None, :]).ravel()
+                full = np.flatnonzero(listed[values])
+                lo = starts[values[full]].astype(np.int64)
+                n = starts[values[full].astype(np.int32) + 1] - lo
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+                of = np.repeat(full, n)
+                once = (changed[place] == 0) | (whole[of % len(near)] & (changed[place] < lowest[of % len(near)]))
+                window, items = of[once] // len(near) + at, items_of[place[once]]
                 ok = np.bitwise_count(prints[window] ^ self.prints[items]).sum(axis=1) <= RADIUS
                 pairs.append(window[ok] * np.int64(len(self.ids)) + items[ok])
         pair = np.unique(np.concatenate(pairs))
