@@ -9,7 +9,7 @@ looked up); candidates are then verified by the exact weighted Jaccard
 similarity of five-word shingles, each weighing as often as it occurs: sum of
 minima over sum of maxima, SIMILARITY or more.
 
-Windows that hold too few shingles of any item to reach the similarity (two
+Windows that hold too few shingles of the items of their length to reach the similarity (two
 sets of a and b shingles need SIMILARITY / (1 + SIMILARITY) * (a + b) in common)
 aren't fingerprinted; that loses nothing.
 
@@ -83,7 +83,12 @@ class Index:
         self.ends = np.cumsum([0, *map(len, known)])
         self.shingles = np.concatenate([*known, np.empty(0, np.uint64)])
         self.counts = np.concatenate([*counts, np.empty(0, np.int32)])
-        self.known = np.unique(self.shingles)
+        # the lengths of the items that hold a shingle, in order of shingles
+        self.known, place = np.unique(self.shingles, return_inverse=True)
+        self.longest = int(self.lengths.max(initial=0))
+        held = np.unique(place * (self.longest + 1) + np.repeat(self.lengths, np.diff(self.ends)))
+        self.lengths_from = np.searchsorted(held // (self.longest + 1), np.arange(len(self.known) + 1))
+        self.lengths_of = (held % (self.longest + 1)).astype(np.int32)
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
         self.maybe[self.known >> np.uint64(64 - _FILTER_BITS)] = True
         # per block of the fingerprint: items in order of the values they are listed under, the bit changed for that, and where each value starts
@@ -129,44 +134,50 @@ class Index:
         return both / (int(n.sum()) + int(m.sum()) - both)
 
     def hits(self, h: np.ndarray, size: int) -> np.ndarray:
+        """Known shingles in a document: its place times (longest + 1) plus the length of an item that holds it, for each such length."""
         s = shingles(h, size)
         at = np.flatnonzero(self.maybe[s >> np.uint64(64 - _FILTER_BITS)])
-        if not at.size:
-            return at
         place = np.minimum(np.searchsorted(self.known, s[at]), len(self.known) - 1)
-        return at[self.known[place] == s[at]]
+        right = self.known[place] == s[at]
+        at, place = at[right], place[right]
+        lo = self.lengths_from[place]
+        n = self.lengths_from[place + 1] - lo
+        lengths = self.lengths_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+        return np.repeat(at, n) * (self.longest + 1) + lengths
 
     def matches(self, h: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """item -> (similarity, first word, words) of its most similar window in a document's word hashes."""
         found: dict[int, tuple[float, int, int]] = {}
         if not len(h) or not self.ids:
             return found
-        at = np.unique(np.concatenate([self.hits(h, WORDS), *(self.hits(h, n) for n in self.short if n < len(h))]))
-        if not at.size:
+        hits = np.unique(np.concatenate([self.hits(h, WORDS), *(self.hits(h, n) for n in self.short if n < len(h))]))
+        if not hits.size:
             return found
-        longest = int(self.lengths.max())
+        longest = self.longest
+        at, lengths = hits // (longest + 1), hits % (longest + 1)
         # stretches of the document that windows with a hit can cover
         first, last = np.maximum(at - longest, 0), np.minimum(at + longest + WORDS, len(h))
         cut = np.flatnonzero(first[1:] > last[:-1])
         for lo, hi in zip(first[np.append(0, cut + 1)], last[np.append(cut, len(at) - 1)], strict=True):
-            own = at[(at >= lo) & (at < hi)]
             for piece in range(lo, hi, 4096):  # bounded memory in texts that are all hits
                 stop = min(hi, piece + 4096 + longest)
-                self._scan(h, piece, stop, own[(own >= piece) & (own < stop)], found)
+                own = slice(*np.searchsorted(at, (piece, stop)))
+                self._scan(h, piece, stop, at[own], lengths[own], found)
         return found
 
-    def _scan(self, h: np.ndarray, lo: int, hi: int, own: np.ndarray, found: dict) -> None:
-        if not own.size:
-            return
+    def _scan(self, h: np.ndarray, lo: int, hi: int, own: np.ndarray, lengths: np.ndarray, found: dict) -> None:
         sums = None
-        known = np.zeros(hi - lo + 1, np.int32)
-        known[own - lo + 1] = 1
-        np.cumsum(known, out=known)
-        for n in np.unique(self.lengths).tolist():
+        for n in np.unique(lengths).tolist():
             size = min(n, hi - lo)
             held, wanted = max(1, size - WORDS + 1), max(1, n - WORDS + 1)
             least = math.ceil(SIMILARITY / (1 + SIMILARITY) * (held + wanted) - 1e-9)
             # windows with enough hits inside
+            places = own[lengths == n] - lo
+            if len(places) < least:
+                continue
+            known = np.zeros(hi - lo + 1, np.int32)
+            known[places + 1] = 1
+            np.cumsum(known, out=known)
             starts = np.arange(hi - lo - size + 1)
             starts = starts[known[starts + held] - known[starts] >= least]
             if not starts.size:
