@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from .runtime import join_groups, materialise
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-    return join_groups(both.where("v > u"), least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return join_groups(both.where("v > u"), least, ["u"], "n", 2 * n_edges).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -32,9 +32,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(links: DataFrame) -> DataFrame:
     """links (u long, v long) -> (node, component), component being the smallest node reachable; nodes without links don't occur."""
     edges = materialise(links.select("u", "v").where("u <> v").distinct(), "links")
-    seen = None
+    seen = (edges.count(), None)
     while True:
-        edges = materialise(_small_star(_large_star(edges)), "stars")
+        edges = materialise(_small_star(_large_star(edges, seen[0])), "stars")
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if seen == now:
             break

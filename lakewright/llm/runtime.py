@@ -20,23 +20,24 @@ def small_or_shuffled(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
 
 
-def hot_and_cold(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> tuple[DataFrame, DataFrame]:
+def hot_and_cold(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Inner join of rows with the groups they are in, in two parts; `size` counts a group's rows, all groups together those of the table or fewer.
 
     Rows of a hot group don't meet in one task: groups of at least a
-    HOT_GROUPS-th of all rows are HOT_GROUPS at most and are broadcast; only
+    HOT_GROUPS-th of all rows (`total`, summed here unless it is given) are HOT_GROUPS at most and are broadcast; only
     the rest, the second part, is shuffled by the keys.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
+    if total is None:
+        total = groups.agg(F.sum(size)).first()[0] or 0
     least = max(HOT_ROWS, -(-total // HOT_GROUPS))
     hot = F.broadcast(groups.where(F.col(size) >= least))
     cold = rows.join(hot.select(*keys), keys, "left_anti").join(groups.where(F.col(size) < least), keys)
     return rows.join(hot, keys), cold
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int | None = None) -> DataFrame:
     """hot_and_cold() as one table."""
-    hot, cold = hot_and_cold(rows, groups, keys, size)
+    hot, cold = hot_and_cold(rows, groups, keys, size, total)
     return hot.unionByName(cold)
 
 
