@@ -28,7 +28,8 @@ def waterfall(
     consume="both": a rule sees rows unmatched on either side and keeps pairs
     that are each other's first choice (1:1). consume="left": only left rows are
     used up, several left rows may match one right row. First choice: least
-    distance, then the ids. cut: writes and re-reads each step's pairs, so that every
+    distance, then the ids; rows that repeat an id and tie are one pair, which two
+    row numbers would lose whenever they numbered different rows first. cut: writes and re-reads each step's pairs, so that every
     rule is planned once and on stored keys, however long the chain is.
     """
     pairs = None
@@ -45,12 +46,12 @@ def waterfall(
             on = on & rule.where
         distance = F.lit(0) if rule.distance is None else rule.distance
         found = l.alias("l").join(r.alias("r"), on).select(F.col(f"l.{left_id}").alias(left_id), F.col(f"r.{right_id}").alias(right_id), distance.alias("__d"))
-        by_left = F.row_number().over(Window.partitionBy(left_id).orderBy("__d", right_id))
+        first = Window.partitionBy(left_id).orderBy("__d", right_id)
         if consume == "both":
-            by_right = F.row_number().over(Window.partitionBy(right_id).orderBy("__d", left_id))
-            found = found.withColumns({"__l": by_left, "__r": by_right}).where("__l = 1 AND __r = 1")
+            by_right = F.rank().over(Window.partitionBy(right_id).orderBy("__d", left_id))
+            found = found.withColumns({"__l": F.rank().over(first), "__r": by_right}).where("__l = 1 AND __r = 1").select(left_id, right_id).distinct()
         else:
-            found = found.withColumn("__l", by_left).where("__l = 1")
+            found = found.withColumn("__l", F.row_number().over(first)).where("__l = 1")
         found = found.select(left_id, right_id, F.lit(step).cast("long").alias("step"))
         found = cut(found) if cut else found
         pairs = found if pairs is None else pairs.unionByName(found)

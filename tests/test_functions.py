@@ -150,6 +150,19 @@ def test_waterfall_one_to_one(spark):
     assert sorted((r.lid, r.rid, r.step) for r in got) == [(1, 8, 2), (2, 7, 1)]
 
 
+def test_waterfall_keeps_pairs_of_repeated_ids(spark):
+    left = spark.range(0, 6000, 1, 4).selectExpr("id % 4 AS lid", "10 + 2 * (id div 4 % 2) AS d")
+    right = spark.range(0, 4, 1, 1).selectExpr("id AS rid", "11 AS d")
+    gap, setting = F.abs(F.col("l.d") - F.col("r.d")), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    conf = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().conf()
+    conf.set(setting, "300")  # sorts that spill don't keep the order of ties
+    try:
+        got = waterfall(left, right, "lid", "rid", [Rule([("lid", "rid")], gap <= 3, gap)]).collect()
+    finally:
+        conf.remove(setting)
+    assert sorted((r.lid, r.rid, r.step) for r in got) == [(k, k, 1) for k in range(4)]
+
+
 def test_ledger_and_dense_months(spark):
     usage = spark.createDataFrame([(1, "2024-01", 2), (1, "2024-03", 1)], "k int, month string, n long")
     billing = spark.createDataFrame([(1, "2024-02", 4), (2, "2024-01", 1)], "k int, month string, n long")
