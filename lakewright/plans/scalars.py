@@ -148,10 +148,11 @@ def name_words_of_text(t: Tables) -> DataFrame:
 
 @query("SELECT a.p_partkey AS a, b.p_partkey AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 4) AS similarity FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey")
 def jaro_winkler_pairs(t: Tables) -> DataFrame:
-    """Equi join first; the Arrow function sees only pairs that share brand and size."""
-    p = t.part.select("p_partkey", "p_name", "p_brand", "p_size")
-    a, b = p.withColumnsRenamed({"p_partkey": "a", "p_name": "x"}), p.withColumnsRenamed({"p_partkey": "b", "p_name": "y"})
-    return a.join(b, ["p_brand", "p_size"]).where("a < b").select("a", "b", F.round(jaro_winkler(F.col("x"), F.col("y")), 4).alias("similarity"))
+    """Equi join of the distinct names of a brand and size first; the Arrow function sees each pair of those once, and keys are paired after it."""
+    p = t.part.groupBy("p_brand", "p_size", "p_name").agg(F.collect_list("p_partkey").alias("keys"), F.min("p_partkey").alias("lo"), F.max("p_partkey").alias("hi"))
+    a, b = p.withColumnsRenamed({"p_name": "x", "keys": "of_x"}).drop("hi"), p.withColumnsRenamed({"p_name": "y", "keys": "of_y"}).drop("lo")
+    scored = a.join(b, ["p_brand", "p_size"]).where("lo < hi").select("of_x", "of_y", F.round(jaro_winkler(F.col("x"), F.col("y")), 4).alias("similarity"))
+    return scored.select(F.explode("of_x").alias("a"), "of_y", "similarity").select("a", F.explode("of_y").alias("b"), "similarity").where("a < b")
 
 
 @query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, round(abs((l_quantity) * try_cast(replace(replace(regexp_replace(dose, '[^0-9,.]', '', 'g'), '.', ''), ',', '.') AS DOUBLE) * (24.0 / nullif(gap, 0))), 4) AS dose_total,
