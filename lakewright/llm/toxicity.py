@@ -26,7 +26,7 @@ toxic windows are first those that occur in toxic documents more often than
 chance allows (words, and pairs of words that are harmless alone), then the ones
 that the current machine finds worst in each toxic document; windows of a clean
 document are clean. Training uses a bounded sample of labelled rows (TRAIN_DOCS
-of each class, in order of a hash of the id).
+of each class, in order of a hash of the id) and runs in one task.
 
 Null and empty texts score as a text without any window. Very long texts are
 read whole. Repeated rows are scored each. Labels that contradict each other
@@ -37,6 +37,7 @@ learnt and every score is 0. Other columns are never read.
 from __future__ import annotations
 
 import heapq
+import pickle
 import re
 import unicodedata
 from collections import Counter
@@ -527,9 +528,17 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     picked = [known.where(c).orderBy(F.xxhash64("id"), "id").limit(train_docs) for c in ("y = 1", "y = 0")]
     sample = picked[0].unionByName(picked[1])  # 2 * train_docs rows at most
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    rows = texts.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y")).toPandas()
-    rows = rows.sort_values("id", kind="stable")
-    return train(rows["text"].tolist(), rows["y"].tolist())
+    rows = texts.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if parts := list(batches):
+            known = pa.Table.from_batches(parts).sort_by("id")
+            model = train(known["text"].to_pylist(), known["y"].to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # in a task: what training leaves behind would stay in the driver for as long as that runs
+    learnt = rows.coalesce(1).mapInArrow(learn, "model binary").collect()
+    return pickle.loads(learnt[0]["model"]) if learnt else train([], [])
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import math
+import os
 import random
 import re
 import textwrap
@@ -99,6 +100,15 @@ def test_toxicity_reads_one_text_of_a_repeated_id(spark):
     assert toxicity.fit(docs, labels, train_docs=5).slope in (0.0, 1.0)
 
 
+def test_toxicity_trains_outside_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i}" if i else None) for i in range(9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: (os.getpid(), texts, y))
+    pid, texts, y = toxicity.fit(docs, labels)
+    trained_on = [r.doc_id for r in docs.where(toxicity.fold("doc_id") != 1).orderBy("doc_id").collect()]
+    assert pid != os.getpid() and texts == [f"word{i}" if i else None for i in trained_on] and y == [i % 2 for i in trained_on]
+
+
 def test_toxicity_without_classes_or_rows(spark):
     nothing = toxicity.train(["a b"], [0])
     docs = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string")
