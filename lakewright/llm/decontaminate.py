@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import give_back
 from .words import WordHashes, hash_words, mix, shingles, split_words
 
 BLOCK, RADIUS, SIMILARITY, WORDS = 20_000, 31, 0.75, 5
@@ -247,8 +248,13 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
 def _holds(shared):
     @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo = WordHashes()
-        return pd.Series([bool(shared.value.matches(hash_words(split_words(t), memo))) for t in texts], dtype=bool)
+        try:
+            for texts in batches:
+                yield pd.Series([bool(shared.value.matches(hash_words(split_words(t), memo))) for t in texts], dtype=bool)
+        finally:
+            memo.clear()
+            give_back()
 
     return holds

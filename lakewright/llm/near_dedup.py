@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .memory import leaves_nothing
 from .runtime import materialise, small_or_shuffled
 from .words import WordHashes, hash_words, mix, shingles, split_words
 
@@ -92,6 +93,7 @@ def _sketches(df: DataFrame, with_sets: bool = False) -> DataFrame:
         sig = signature(members)
         return np.concatenate([bands(sig), low_bits(sig)])
 
+    @leaves_nothing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
@@ -128,6 +130,7 @@ def _likely(n_u: Column, n_v: Column, bits_u: Column, bits_v: Column) -> Column:
     return (100 * n_u >= SHARE * n_v) & (100 * n_v >= SHARE * n_u) & (different <= MOST_DIFFERENT)
 
 
+@leaves_nothing
 def _count_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many of a task's sets have a member of each hash: none, one, or more (2), in blocks."""
     seen = np.zeros(1 << _COUNT_BITS, np.uint8)
@@ -157,6 +160,7 @@ def _with_shareable(some: DataFrame, sets: DataFrame) -> DataFrame:
     blocks = held.select("members").mapInArrow(_count_members, "block int, seen binary").groupBy("block").applyInPandas(_add_counts, "block int, seen binary").collect()
     table = spark.sparkContext.broadcast(np.concatenate([np.frombuffer(b["seen"], np.uint8) for b in sorted(blocks, key=lambda b: b["block"])]) if blocks else np.zeros(1 << _COUNT_BITS, np.uint8))
 
+    @leaves_nothing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [x.values.to_numpy().view(np.uint64) >> np.uint64(64 - _COUNT_BITS) for x in batch.column(1)]

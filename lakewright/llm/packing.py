@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .memory import leaves_nothing
 from .runtime import materialise
 
 CAPACITY = 1024
@@ -59,11 +60,11 @@ def tokenizer(path: str):
     ranks = {bytes(byte[c] for c in tok): i for tok, i in spec["model"]["vocab"].items() if tok not in added}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     fast = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    slow = Tokenizer.from_file(path)
+    slow = lru_cache(maxsize=1)(lambda: Tokenizer.from_file(path))  # as few texts need it
 
     def encode(text: str) -> np.ndarray:
         if any(a in text for a in added):
-            return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
+            return np.array(slow().encode(text, add_special_tokens=False).ids, "<u4")
         return fast.encode_to_numpy(text).astype("<u4", copy=False)
 
     return encode
@@ -80,6 +81,7 @@ def pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     source = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
+    @leaves_nothing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen, part = tokenizer(tokenizer_path), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         end = np.array([end_token], "<u4")

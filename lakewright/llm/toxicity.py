@@ -26,7 +26,8 @@ toxic windows are first those that occur in toxic documents more often than
 chance allows (words, and pairs of words that are harmless alone), then the ones
 that the current machine finds worst in each toxic document; windows of a clean
 document are clean. Training uses a bounded sample of labelled rows (TRAIN_DOCS
-of each class, in order of a hash of the id) and runs in one task.
+of each class, in order of a hash of the id) and runs in one task, in a fork of
+its worker, so that its memory ends with it.
 
 Null and empty texts score as a text without any window. Very long texts are
 read whole. Repeated rows are scored each. Labels that contradict each other
@@ -52,6 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import apart, give_back, leaves_nothing
 from .words import mix
 
 TRAIN_DOCS = 2000
@@ -530,13 +532,15 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
     rows = texts.groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
+    @leaves_nothing
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if parts := list(batches):
             known = pa.Table.from_batches(parts).sort_by("id")
-            model = train(known["text"].to_pylist(), known["y"].to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+            del parts
+            model = apart(lambda: pickle.dumps(train(known["text"].to_pylist(), known["y"].to_pylist())))
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
-    # in a task: what training leaves behind would stay in the driver for as long as that runs
+    # in a task, and there apart: what training leaves behind would stay in the driver, or the worker, for as long as that runs
     learnt = rows.coalesce(1).mapInArrow(learn, "model binary").collect()
     return pickle.loads(learnt[0]["model"]) if learnt else train([], [])
 
@@ -546,6 +550,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     shared = df.sparkSession.sparkContext.broadcast(model)  # 64^3 numbers
     source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
+    @leaves_nothing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
@@ -561,8 +566,12 @@ def drop_toxic(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def probability(texts: pd.Series) -> pd.Series:
-        out = [shared.value.texts(texts.iloc[lo : lo + 256].tolist())[0] for lo in range(0, len(texts), 256)]
-        return pd.Series(shared.value.probability(np.concatenate(out)) if out else [], dtype="float64")
+    def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in batches:
+                out = [shared.value.texts(texts.iloc[lo : lo + 256].tolist())[0] for lo in range(0, len(texts), 256)]
+                yield pd.Series(shared.value.probability(np.concatenate(out)) if out else [], dtype="float64")
+        finally:
+            give_back()
 
     return df.where(probability(F.col(text_col)) < threshold)

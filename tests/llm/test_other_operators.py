@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 import zstandard
 
-from lakewright.llm import components, licences, queries, toxicity, url_filter, warc
+from lakewright.llm import components, licences, memory, queries, toxicity, url_filter, warc
 from tests.oracle import differences
 
 
@@ -109,6 +109,47 @@ def test_toxicity_trains_outside_the_driver(spark, monkeypatch):
     assert pid != os.getpid() and texts == [f"word{i}" if i else None for i in trained_on] and y == [i % 2 for i in trained_on]
 
 
+def test_toxicity_training_leaves_no_memory_in_its_worker(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: (os.getpid(), os.getppid()))
+    pid, worker = toxicity.fit(docs, labels)
+    with pytest.raises(ProcessLookupError):
+        os.kill(pid, 0)
+    os.kill(worker, 0)  # the worker is there for the next task
+
+
+def test_what_is_made_apart():
+    assert memory.apart(lambda: b"x" * 3_000_000) == b"x" * 3_000_000
+    with pytest.raises(RuntimeError, match="^ZeroDivisionError: "):
+        memory.apart(lambda: 1 // 0)
+    with pytest.raises(RuntimeError, match="status 3"):
+        memory.apart(lambda: os._exit(3))
+
+
+def test_stages_send_python_few_rows_at_a_time(spark, sf):
+    import corpus_pipeline
+    import pyarrow as pa
+    from lakewright.llm.runtime import table
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs, before = spark.range(5000, numPartitions=1), spark.conf.get(setting)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(setting)
+            stage(spark, table(spark, sf, "documents").limit(0), sf)
+            assert docs.mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0] <= memory.BATCH_ROWS, name
+        spark.conf.set(setting, "10")
+        memory.small_batches(spark)
+        assert spark.conf.get(setting) == "10"
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_toxicity_without_classes_or_rows(spark):
     nothing = toxicity.train(["a b"], [0])
     docs = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string")
